@@ -89,7 +89,7 @@ def append(
         raise ValueError("measurement name cannot be empty")
     spark = df.sparkSession
     rows = with_day(df)
-    _prepare(spark, rows, database, measurement, tags)
+    prepare(spark, rows, database, measurement, tags)
     rows = _aligned(rows, spark.table(quoted(database, measurement)))
     if cluster:
         rows = rows.hint("rebalance", DAY)
@@ -121,7 +121,10 @@ def append_each(df: DataFrame, database: str) -> list[str]:
     return sorted(names)
 
 
-def _prepare(spark: SparkSession, rows: DataFrame, database: str, measurement: str, tags: Sequence[str]) -> None:
+def prepare(
+    spark: SparkSession, rows: DataFrame, database: str, measurement: str, tags: Sequence[str] = ()
+) -> None:
+    """Create the table, or add its new columns, for rows that have a ``day``."""
     table = quoted(database, measurement)
     if not exists(spark, database, measurement):
         columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != DAY)

@@ -26,6 +26,7 @@ from chronoloom.operators.lines_out import record_lines, table_lines, write_line
 from chronoloom.operators.merge import rows_per_measurement, sparse_merge  # noqa: E402
 from chronoloom.operators.results import epoch_rows, row_counts, run_sql  # noqa: E402
 from chronoloom.plans import continuous, deletion, retention  # noqa: E402
+from chronoloom.plans.loading import append_each  # noqa: E402
 from chronoloom.session import shared_dir  # noqa: E402
 from chronoloom.sources.batches import batch_rows  # noqa: E402
 from chronoloom.sources.columnar import columnar_batches, columnar_rows  # noqa: E402
@@ -147,7 +148,7 @@ def _estimate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _measurement_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _database(configure(spark))
     rows = _events(spark, sf_dir, "event_type", "value").withColumnRenamed("event_type", "measurement")
-    store.append_each(rows, database)
+    append_each(rows, database)
     listed = store.list_measurements(spark, database)
     days = [
         store.rows_and_files(store.read(spark, database, name)).select(F.lit(name).alias("measurement"), "rows", "files")

@@ -15,9 +15,9 @@ STRING_SPECIAL = r'["\\]'
 
 # The grammar. Every repeat is possessive: the Java matcher then loops instead of recursing, so a string field of
 # any length is matched whole, and no line can make it backtrack.
-NAME = r"(?:[^,\s\\]|\\.)++"
-KEY = r"(?:[^,=\s\\]|\\.)++"
-STRING = r'"(?:[^"\\]|\\.)*+"'
+NAME = r"(?:[^,\s\\]++|\\.)++"
+KEY = r"(?:[^,=\s\\]++|\\.)++"
+STRING = r'"(?:[^"\\]++|\\.)*+"'
 NUMBER = r"[-+]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][-+]?[0-9]++)?i?|[-+]?inf|nan"
 VALUE = rf"(?:{STRING}|true|false|{NUMBER})(?=[,\s]|$)"
 HEAD = rf"(?s)^{NAME}(?:,{KEY}={KEY})*+(?= )"
@@ -34,51 +34,37 @@ def escape(text: Column | str, special: str) -> Column | str:
 
 
 def unescape(text: Column, special: str) -> Column:
-    """Undo ``escape``."""
-    return F.regexp_replace(text, rf"\\({special})", "$1")
+    """Undo ``escape``; text without a backslash takes no regex."""
+    return F.when(text.contains("\\"), F.regexp_replace(text, rf"\\({special})", "$1")).otherwise(text)
 
 
 def float_text(value: Column) -> Column:
     """Shortest decimal text of a double: plain from 1e-4 up to 1e16, with an exponent beyond.
 
-    Spark's own cast turns to exponents at 1e-3 and 1e7. Only values in exponent form take the longer way.
+    Spark's own cast turns to exponents at 1e-3 and 1e7. Only values beyond those take the longer way.
     """
+    size = F.abs(value)
     text = value.cast("double").cast("string")
-    exponent = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).cast("int")
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.concat(
-        F.regexp_extract(text, r"^-?([0-9])", 1),
-        F.regexp_replace(F.regexp_extract(text, r"\.([0-9]+)E", 1), "^0$", ""),
-    )
-    whole = exponent + F.lit(1)
-    small = F.concat(sign, F.lit("0.000"), digits)
-    large = F.concat(
-        sign,
-        F.rpad(F.substring(digits, F.lit(1), whole), whole, F.lit("0")),
-        F.lit("."),
-        F.when(F.length(digits) > whole, F.substring(digits, whole + F.lit(1), F.length(digits))).otherwise(F.lit("0")),
-    )
-    scientific = F.concat(
-        sign,
-        F.substring(digits, 1, 1),
-        F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), F.length(digits)))).otherwise(
-            F.lit("")
-        ),
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
-        F.abs(exponent).cast("string"),
-    )
     return (
-        F.when(F.isnan(value), F.lit("nan"))
-        .when(text == "Infinity", F.lit("inf"))
-        .when(text == "-Infinity", F.lit("-inf"))
-        .when(~text.contains("E"), text)
-        .when(exponent == -4, small)
-        .when((exponent >= 0) & (exponent < 16), large)
-        .otherwise(scientific)
+        F.when(((size >= 1e-3) & (size < 1e7)) | (size == 0), text)
+        .when((size >= 1e-4) & (size < 1e-3), _plain(value, "decimal(38,30)"))
+        .when((size >= 1e7) & (size < 1e16), _plain(value, "decimal(38,18)"))
+        .otherwise(_exponent(text))
     )
 
 
+def _plain(value: Column, kind: str) -> Column:
+    # A double becomes a decimal by its shortest digits; one digit stays after the point.
+    return F.regexp_replace(value.cast("double").cast(kind).cast("string"), r"(\.[0-9]+?)0+$", "$1")
+
+
+def _exponent(text: Column) -> Column:
+    # 1.0E16 to 1e+16, 1.5E-5 to 1.5e-05; Infinity and NaN pass through here too.
+    lower = F.replace(F.lower(text), F.lit("infinity"), F.lit("inf"))
+    signed = F.regexp_replace(F.replace(lower, F.lit(".0e"), F.lit("e")), "e([0-9])", "e+$1")
+    return F.regexp_replace(signed, "e([+-])([0-9])$", "e$10$2")
+
+
 def plain_text(value: Column, kind: T.DataType) -> Column:
     """Text of a value as a tag or inside quotes."""
     if isinstance(kind, T.BooleanType):
@@ -110,10 +96,8 @@ def field_value(text: Column, kind: T.DataType) -> Column:
             F.when(text.startswith('"'), unescape(inner, STRING_SPECIAL))
             .when(text.isNotNull(), F.raise_error(F.concat(F.lit("not a string field: "), text)))
         )
-    if isinstance(kind, T.IntegralType):
-        return F.regexp_replace(text, "i$", "").cast(kind)
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.regexp_replace(text, "i$", "").cast(kind)
+    if isinstance(kind, (T.IntegralType, T.FloatType, T.DoubleType)):
+        return F.rtrim(text, F.lit("i")).cast(kind)
     if isinstance(kind, T.BooleanType):
         return text.cast(kind)
     raise ValueError(f"a field is a number, a boolean or a string, not {kind.simpleString()}")

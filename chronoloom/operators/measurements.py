@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.functions.timeunits import as_utc, instant
-from chronoloom.session import settings, shared_dir
+from chronoloom.session import settings
 
 DAY = "day"
 COMPRESSION = "zstd"
+# A task that holds few days writes their files side by side; only beyond that are its rows sorted by day first.
+WRITERS = {"spark.sql.maxConcurrentOutputFileWriters": "4"}
 LIST_SCHEMA = "database string, measurement string"
 
 
@@ -82,8 +84,9 @@ def append(
     """Append rows, creating the table or adding its new columns as needed.
 
     Columns the rows lack become null; a column whose type clashes is refused before anything is written. By default
-    the write is one narrow stage, right for input that comes in time order. With ``cluster`` rows are brought together
-    by day first; AQE then splits a heavy day over many tasks and files instead of giving it to one.
+    the write is one narrow stage without a sort, right for input that comes in time order. With ``cluster`` rows are
+    brought together by day first and lie by tag and time in each file, so that row groups can be skipped on both;
+    AQE splits a heavy day over many tasks and files instead of giving it to one.
     """
     if not measurement:
         raise ValueError("measurement name cannot be empty")
@@ -92,33 +95,14 @@ def append(
     prepare(spark, rows, database, measurement, tags)
     rows = _aligned(rows, spark.table(quoted(database, measurement)))
     if cluster:
-        rows = rows.hint("rebalance", DAY)
-    with settings(spark, {"spark.sql.files.maxRecordsPerFile": str(max_rows_per_file)} if max_rows_per_file else {}):
+        rows = _clustered(rows, tags_of(spark, database, measurement))
+    limit = {"spark.sql.files.maxRecordsPerFile": str(max_rows_per_file)} if max_rows_per_file else {}
+    with settings(spark, {**WRITERS, **limit}):
         rows.write.insertInto(quoted(database, measurement))
 
 
-def append_each(df: DataFrame, database: str) -> list[str]:
-    """Append rows of several measurements, told apart by column ``measurement``; gives their names.
-
-    The rows are written once to the shared folder, split by measurement, so the source is worked out once and not
-    once per measurement. A column goes to a measurement only if some row of it has a value there.
-    """
-    spark = df.sparkSession
-    staged = f"{shared_dir(spark)}/staged-{uuid4().hex}"
-    df.write.partitionBy("measurement").parquet(staged)
-    parts = spark.read.schema(df.schema).parquet(staged)
-    columns = [name for name in df.columns if name not in ("measurement", "time")]
-    used = parts.groupBy("measurement").agg(
-        *[F.bool_or(F.col(f"`{name}`").isNotNull()).alias(name) for name in columns]
-    )
-    names = []
-    for row in used.collect():
-        own = [name for name in columns if row[name]]
-        one = parts.filter(F.col("measurement") == row.measurement).select("time", *[F.col(f"`{n}`") for n in own])
-        append(one, database, row.measurement)
-        names.append(row.measurement)
-    remove(spark, staged)
-    return sorted(names)
+def _clustered(rows: DataFrame, tags: Sequence[str]) -> DataFrame:
+    return rows.hint("rebalance", DAY).sortWithinPartitions(DAY, *[quoted(tag) for tag in tags], "time")
 
 
 def prepare(
@@ -184,19 +168,28 @@ def _aligned(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def replace_days(
-    spark: SparkSession, database: str, measurement: str, rows: DataFrame, days: Iterable[date]
+    spark: SparkSession,
+    database: str,
+    measurement: str,
+    rows: DataFrame,
+    days: Iterable[date],
+    cluster: bool = False,
 ) -> dict[date, int]:
     """Make ``rows`` (with ``day``) the whole content of ``days``; gives the row count by day written.
 
     ``rows`` may be read from the table itself. They are written once, to a new folder under the table; then the
     catalogue is pointed to it day by day and the old files go. Until its turn a day keeps its old content, so a run
-    that dies loses nothing and can be repeated. Days without rows are dropped.
+    that dies loses nothing and can be repeated. Days without rows are dropped. ``cluster`` is as in ``append``; rows
+    read from the table's own files lie by day already.
     """
     table = quoted(database, measurement)
     root = location(spark, database, measurement)
     target = f"{root}/rev={uuid4().hex}"
     rows = _aligned(rows, spark.table(table))
-    rows.hint("rebalance", DAY).write.partitionBy(DAY).option("compression", COMPRESSION).parquet(target)
+    if cluster:
+        rows = _clustered(rows, tags_of(spark, database, measurement))
+    with settings(spark, WRITERS):
+        rows.write.partitionBy(DAY).option("compression", COMPRESSION).parquet(target)
     # Counted from the file footers of what was written: at most one row per day comes back.
     counts = spark.read.schema(rows.schema).parquet(target).groupBy(DAY).count().collect()
     written = {row[DAY]: row["count"] for row in counts}

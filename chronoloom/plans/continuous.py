@@ -217,7 +217,8 @@ def replace_range(
     edges = [low.date(), store.last_day(high)]
     kept = store.read(spark, database, measurement).filter(F.col(DAY).isin(edges) & ~inside)
     days = [d for d in store.days_of(spark, database, measurement) if edges[0] <= d <= edges[1]]
-    store.replace_days(spark, database, measurement, kept.unionByName(new, allowMissingColumns=True), days)
+    rows = kept.unionByName(new, allowMissingColumns=True)
+    store.replace_days(spark, database, measurement, rows, days, cluster=True)
     return time_range(store.read(spark, database, measurement), low, high).count()
 
 

@@ -17,6 +17,9 @@ def configure(spark: SparkSession) -> SparkSession:
     Nothing that sizes a job is set here; shuffle partitions, split sizes and AQE stay with the cluster.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # The JVM never compiles a method over 8000 bytes. Text work on wide rows makes such methods; past this limit
+    # Spark splits the work into small ones instead.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     register(spark)
     return spark
 

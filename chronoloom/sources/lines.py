@@ -33,28 +33,41 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Cut each line into its parts; blank lines and comments are left out.
 
     Gives ``measurement, tag_keys, tag_values, field_keys, field_values, time_ns, line``. A line off the grammar has a
-    null measurement. Each regex runs once over its own part of the line.
+    null measurement.
+
+    Each regex runs once over its own part of the line. The parts pass through a generator of one row on the way: a
+    filter on the measurement stops there, where otherwise Catalyst would push it to the scan with all the regexes
+    behind it, and run them again for every column.
     """
     text = F.trim(F.col(column))
-    cut = lines.filter((text != "") & ~text.startswith("#")).select(F.regexp_replace(column, r"[\r\n ]+$", "").alias("line"))
+    cut = lines.filter((text != "") & ~text.startswith("#"))
+    cut = cut.select(F.rtrim(F.col(column), F.lit(" \r\n")).alias("line"))
     cut = cut.select("line", F.regexp_extract("line", HEAD, 0).alias("head"))
     cut = cut.select("line", "head", F.substring("line", F.length("head") + F.lit(2), F.length("line")).alias("rest"))
     cut = cut.select("line", "head", "rest", F.regexp_extract("rest", FIELDS, 0).alias("fields"))
     cut = cut.select(
         "line", "head", "fields", F.substring("rest", F.length("fields") + F.lit(1), F.length("rest")).alias("tail")
     )
-    time = F.expr("try_cast(substring(tail, 2) AS bigint)")
-    timed = F.col("tail").startswith(" ") & time.isNotNull()
+    cut = cut.select("line", "head", "fields", "tail", F.expr("try_cast(substring(tail, 2) AS bigint)").alias("time"))
+    timed = F.col("tail").startswith(" ") & F.col("time").isNotNull()
     valid = (F.col("head") != "") & (F.col("fields") != "") & ((F.col("tail") == "") | timed)
-    head = F.when(valid, F.col("head"))
-    fields = F.when(valid, F.col("fields"))
-    return cut.select(
-        unescape(F.regexp_extract(head, f"(?s)^{NAME}", 0), MEASUREMENT_SPECIAL).alias("measurement"),
-        F.regexp_extract_all(head, F.lit(TAG_PAIR), F.lit(1)).alias("tag_keys"),
-        F.regexp_extract_all(head, F.lit(TAG_PAIR), F.lit(2)).alias("tag_values"),
-        F.regexp_extract_all(fields, F.lit(FIELD_PAIR), F.lit(1)).alias("field_keys"),
-        F.regexp_extract_all(fields, F.lit(FIELD_PAIR), F.lit(2)).alias("field_values"),
-        F.when(valid & timed, time).alias("time_ns"),
+    name = F.when(
+        F.col("head").contains("\\"), unescape(F.regexp_extract("head", f"(?s)^{NAME}", 0), MEASUREMENT_SPECIAL)
+    ).otherwise(F.substring_index("head", ",", 1))
+    whole = F.struct(
+        F.when(valid, name).alias("measurement"),
+        F.when(valid, F.col("head")).alias("head"),
+        F.when(valid, F.col("fields")).alias("fields"),
+        F.when(valid, F.col("time")).alias("time_ns"),
+        F.col("line").alias("line"),
+    )
+    return cut.select(F.inline(F.array(whole))).select(
+        "measurement",
+        F.regexp_extract_all("head", F.lit(TAG_PAIR), F.lit(1)).alias("tag_keys"),
+        F.regexp_extract_all("head", F.lit(TAG_PAIR), F.lit(2)).alias("tag_values"),
+        F.regexp_extract_all("fields", F.lit(FIELD_PAIR), F.lit(1)).alias("field_keys"),
+        F.regexp_extract_all("fields", F.lit(FIELD_PAIR), F.lit(2)).alias("field_values"),
+        "time_ns",
         "line",
     )
 
@@ -65,7 +78,7 @@ def rejects(parsed: DataFrame) -> DataFrame:
 
 
 def line_schema(parsed: DataFrame) -> DataFrame:
-    """Keys in use: ``measurement, part`` (tag or field)``, key, type``.
+    """Keys in use: ``measurement, part (tag or field), key, type``.
 
     One distinct pass; map-side it shrinks to one row per key, whatever the number of lines.
     """

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.operators import measurements as store
 from chronoloom.operators.results import analyze, estimate, response, run_sql
+from chronoloom.plans.loading import append_each
 from chronoloom.sources.frames import table_rows
 
 
@@ -57,7 +58,7 @@ def test_append_each_splits_by_measurement(spark, events, database):
         F.when(F.col("event_type") != "view", F.col("value")).alias("value"),
         F.when(F.col("event_type") == "view", F.lit("v")).alias("kind"),
     )
-    names = store.append_each(rows, database)
+    names = append_each(rows, database)
     assert names == ["click", "error", "purchase", "signup", "view"]
     assert store.names_of(spark, database) == names
     assert store.read(spark, database, "view").columns == ["time", "kind", "day"]

@@ -114,9 +114,9 @@ def _tag_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recent_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _events(spark, sf_dir, "event_id", "value")
-    sql = f"SELECT * FROM {{events}} WHERE time > TIMESTAMP'{AS_OF} 00:00:00' - INTERVAL '36 hours'"
-    return _shown(spark.sql(sql, events=events))
+    database = _loaded(spark, sf_dir)
+    sql = f"SELECT time, event_id, value FROM ticks WHERE time > TIMESTAMP'{AS_OF} 00:00:00' - INTERVAL '36 hours'"
+    return _shown(run_sql(spark, sql, database))
 
 
 def _day_range(spark: SparkSession, sf_dir: str) -> DataFrame:

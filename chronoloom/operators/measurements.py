@@ -254,9 +254,10 @@ def show_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 
 def names_of(spark: SparkSession, database: str) -> list[str]:
-    """Measurements of a database; run histories, whose names start with an underscore, are not among them."""
-    rows = show_tables(spark, database).collect()
-    return sorted(row.tableName for row in rows if not row.tableName.startswith("_"))
+    """Measurements of a database: its tables, but no views and no run histories, which begin with an underscore."""
+    views = {row.viewName for row in spark.sql(f"SHOW VIEWS FROM {quoted(database)}").collect()}
+    names = {row.tableName for row in show_tables(spark, database).collect()}
+    return sorted(name for name in names - views if not name.startswith("_"))
 
 
 def list_measurements(spark: SparkSession, database: str | None = None) -> DataFrame:

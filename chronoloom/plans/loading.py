@@ -13,8 +13,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.operators.measurements import append, remove
-from chronoloom.session import shared_dir
+from chronoloom.operators.measurements import WRITERS, append, remove
+from chronoloom.session import settings, shared_dir
 from chronoloom.sources.lines import known_schema, parse_lines, rejects, typed_rows
 
 
@@ -22,7 +22,8 @@ from chronoloom.sources.lines import known_schema, parse_lines, rejects, typed_r
 def _split(df: DataFrame) -> Iterator[DataFrame]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/split-{uuid4().hex}"
-    df.write.partitionBy("measurement").parquet(path)
+    with settings(spark, WRITERS):
+        df.write.partitionBy("measurement").parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from chronoloom.operators.measurements import COMPRESSION, DAY, with_day
+from chronoloom.operators.measurements import COMPRESSION, DAY, quoted, with_day
 from chronoloom.sources.lines import parse_lines, typed_rows
 
 
@@ -67,6 +67,22 @@ def ingested(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.parquet(path)
 
 
+def expose(spark: SparkSession, path: str, database: str, measurement: str) -> None:
+    """Make a stream's committed rows known to SQL as ``database.measurement``, by a view.
+
+    The view reads through the sink's log, so batches in progress stay unseen, and it keeps the partition columns, so
+    a range of days opens only those. Deletes and retention work on tables; ``append`` moves rows into one.
+    """
+    rows = ingested(spark, path)
+    columns = ", ".join(quoted(name) for name in rows.columns if name != "measurement")
+    text = measurement.replace("\\", "\\\\").replace("'", "\\'")
+    where = f" WHERE measurement = '{text}'" if "measurement" in rows.columns else ""
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {quoted(database, measurement)} AS "
+        f"SELECT {columns} FROM parquet.{quoted(path)}{where}"
+    )
+
+
 def pending_rows(query: StreamingQuery) -> int:
     """Rows taken in by the newest batch."""
     progress = query.lastProgress

@@ -10,14 +10,12 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    base = tempfile.mkdtemp(prefix="chronoloom-test-")
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.warehouse.dir", f"{base}/warehouse")
-        .config("spark.checkpoint.dir", f"{base}/shared")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="chronoloom-test-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

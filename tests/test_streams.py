@@ -1,4 +1,4 @@
-import tempfile
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from chronoloom.functions.buckets import time_bucket
 from chronoloom.operators.lines_out import table_lines, write_lines
 from chronoloom.operators.merge import rows_per_measurement
+from chronoloom.operators.measurements import exists, names_of, read, time_range
+from chronoloom.session import shared_dir
 from chronoloom.sources.batches import batch_rows
 from chronoloom.sources.frames import table_rows
 from chronoloom.sources.lines import read_lines
-from chronoloom.streaming.ingest import ingested, pending_rows, start_ingest, stream_json, stream_lines, stream_points
+from chronoloom.streaming.ingest import expose, ingested, pending_rows, start_ingest, stream_json, stream_lines, stream_points
 from chronoloom.streaming.rollup import rollup
 from tests.conftest import DATA
 
@@ -17,8 +19,8 @@ FIELDS = {"value": "double", "user_id": "bigint"}
 
 
 @pytest.fixture()
-def folder():
-    return tempfile.mkdtemp(prefix="chronoloom-stream-")
+def folder(spark):
+    return f"{shared_dir(spark)}/stream-{uuid4().hex}"
 
 
 def run(query):
@@ -49,7 +51,7 @@ def test_ingest_of_gzip_lines_is_exactly_once(spark, events, folder):
     assert ingested(spark, f"{folder}/out").count() == events.count() + 10
 
 
-def test_ingest_of_mixed_payloads(spark, folder):
+def test_ingest_of_mixed_payloads(spark, folder, database):
     schema = """batch array<struct<m:string, columns:struct<time:array<bigint>,value:array<double>>,
                 t:bigint, fields:struct<used:bigint>, tags:map<string,string>>>"""
     payload = """{"batch": [{"m": "cpu", "columns": {"time": [1, 2], "value": [0.5, 0.6]}},
@@ -59,6 +61,14 @@ def test_ingest_of_mixed_payloads(spark, folder):
     run(start_ingest(rows, f"{folder}/out", f"{folder}/mark", once=True))
     got = {r.measurement: r.rows for r in rows_per_measurement(ingested(spark, f"{folder}/out")).collect()}
     assert got == {"cpu": 2, "mem": 1}
+    expose(spark, f"{folder}/out", database, "cpu")
+    expose(spark, f"{folder}/out", database, "mem")
+    cpu = read(spark, database, "cpu")
+    assert cpu.columns == ["time", "value", "host", "used", "day"]
+    assert time_range(cpu, "1970-01-01", "1970-01-02").count() == 2 and read(spark, database, "mem").count() == 1
+    plan = cpu.filter("day = '1970-01-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "measurement#" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert exists(spark, database, "cpu") and names_of(spark, database) == []
 
 
 @pytest.mark.parametrize("width", ["1 hour", "7h", "7 days"])

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 from functools import reduce
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -195,15 +196,14 @@ def replace_days(
     written = {row[DAY]: row["count"] for row in counts}
 
     have = set(days_of(spark, database, measurement))
+    folders = _folders(spark, database, measurement, have & set(written))
     for day in sorted(written):
         spec = f"PARTITION ({DAY} = '{day}')"
         path = f"{target}/{DAY}={day}"
         if day in have:
-            old = _partition_location(spark, table, spec)
             spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{path}'")
-            if not old.startswith(f"{root}/"):
-                raise RuntimeError(f"partition {day} of {table} lies outside its table: {old}")
-            remove(spark, old)
+            for folder in folders.get(day, []):
+                remove(spark, folder, root)
         else:
             spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION '{path}'")
     drop_days(spark, database, measurement, (set(days) & have) - set(written))
@@ -211,6 +211,16 @@ def replace_days(
     return written
 
 
+def _folders(spark: SparkSession, database: str, measurement: str, days: Iterable[date]) -> dict[date, list[str]]:
+    """Folders that hold the files of some days: about one row per day, found without reading a column."""
+    rows = read(spark, database, measurement).filter(F.col(DAY).isin(list(days)))
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    out: dict[date, list[str]] = {}
+    for row in rows.select(DAY, folder.alias("folder")).distinct().collect():
+        out.setdefault(row[DAY], []).append(unquote(row.folder))
+    return out
+
+
 def drop_days(spark: SparkSession, database: str, measurement: str, days: Iterable[date]) -> None:
     """Drop whole days in one statement; files go, none is read or rewritten."""
     specs = ", ".join(f"PARTITION ({DAY} = '{day}')" for day in sorted(days))
@@ -225,21 +235,17 @@ def rows_and_files(df: DataFrame) -> DataFrame:
 
 
 def location(spark: SparkSession, database: str, measurement: str) -> str:
-    return _described(spark, f"DESCRIBE TABLE EXTENDED {quoted(database, measurement)}")
-
-
-def _partition_location(spark: SparkSession, table: str, spec: str) -> str:
-    return _described(spark, f"DESCRIBE TABLE EXTENDED {table} {spec}")
-
-
-def _described(spark: SparkSession, statement: str) -> str:
-    rows = spark.sql(statement).filter("col_name = 'Location'").collect()
-    return rows[0].data_type.rstrip("/")
+    """Folder of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(database, measurement)}").filter("col_name = 'Location'")
+    return rows.first().data_type.rstrip("/")
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Remove a folder this package wrote."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+def remove(spark: SparkSession, path: str, within: str) -> None:
+    """Remove a folder this package wrote; it must lie ``within`` another."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, parent = hadoop.Path(path), hadoop.Path(within)
+    if not target.toUri().getPath().startswith(parent.toUri().getPath() + "/"):
+        raise RuntimeError(f"{path} does not lie within {within}")
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 

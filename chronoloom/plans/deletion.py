@@ -89,7 +89,8 @@ def delete(
     check(database, measurement, where)
     if not limits.enabled:
         raise ValueError("delete is switched off")
-    report = delete_report(spark, database, measurement, where)
+    # Kept, since it is read several times and has to outlast the files it was made from.
+    report = delete_report(spark, database, measurement, where).checkpoint()
     by_day = (
         report.groupBy(DAY)
         .agg(
@@ -109,8 +110,6 @@ def delete(
         if deleted:
             left = [row[DAY] for row in by_day if row.matched < row.rows]
             rows = read(spark, database, measurement).filter(F.col(DAY).isin(left))
-            # The report is only read from here on; its files will be gone.
-            report = report.checkpoint()
             replace_days(spark, database, measurement, survivors(rows, where), [row[DAY] for row in by_day])
     return DeleteResult(
         success=True,

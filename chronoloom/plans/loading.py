@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from chronoloom.operators.measurements import WRITERS, append, remove
 from chronoloom.session import settings, shared_dir
-from chronoloom.sources.lines import known_schema, parse_lines, rejects, typed_rows
+from chronoloom.sources.lines import known_schemas, parse_lines, rejects, typed_rows
+
+# Each measurement is a table, written by a job of its own.
+MAX_MEASUREMENTS = 10_000
 
 
 @contextmanager
@@ -27,7 +30,7 @@ def _split(df: DataFrame) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        remove(spark, path)
+        remove(spark, path, shared_dir(spark))
 
 
 def append_each(df: DataFrame, database: str) -> list[str]:
@@ -40,7 +43,10 @@ def append_each(df: DataFrame, database: str) -> list[str]:
         used = parts.groupBy("measurement").agg(
             *[F.bool_or(F.col(f"`{name}`").isNotNull()).alias(name) for name in columns]
         )
-        found = {row.measurement: [name for name in columns if row[name]] for row in used.collect()}
+        listed = used.limit(MAX_MEASUREMENTS + 1).collect()
+        if len(listed) > MAX_MEASUREMENTS:
+            raise ValueError(f"the rows name over {MAX_MEASUREMENTS} measurements")
+        found = {row.measurement: [name for name in columns if row[name]] for row in listed}
         for measurement, own in found.items():
             rows = parts.filter(F.col("measurement") == measurement)
             append(rows.select("time", *[F.col(f"`{name}`") for name in own]), database, measurement)
@@ -62,8 +68,7 @@ def append_lines(
         elif not bad.isEmpty():
             raise ValueError(f"lines off the grammar, such as {bad.first().line[:200]!r}")
         good = parts.filter(F.col("measurement").isNotNull())
-        names = sorted(row.measurement for row in good.select("measurement").distinct().collect())
-        schemas = {name: known_schema(good.filter(F.col("measurement") == name), name) for name in names}
+        schemas = known_schemas(good)
         for name, (tags, fields) in schemas.items():
             append(typed_rows(good, name, tags, fields, now_us), database, name, tags)
-    return names
+    return sorted(schemas)

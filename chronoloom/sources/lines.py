@@ -23,6 +23,9 @@ from chronoloom.functions.linetext import (
 )
 from chronoloom.functions.timeunits import nanos_to_time, now_micros
 
+# Keys become columns, so they go to the driver only within what tables can hold.
+MAX_KEYS = 100_000
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files; ``.gz`` files are read as they are."""
@@ -96,22 +99,28 @@ def line_schema(parsed: DataFrame) -> DataFrame:
     return distinct.withColumn("key", unescape(F.col("key"), KEY_SPECIAL))
 
 
-def known_schema(parsed: DataFrame, measurement: str) -> tuple[list[str], dict[str, str]]:
-    """Tags and typed fields of one measurement, looked up by ``line_schema``."""
-    rows = line_schema(parsed).filter(F.col("measurement") == measurement).drop("measurement").collect()
-    tags = sorted(r.key for r in rows if r.part == "tag")
-    kinds: dict[str, set[str]] = {}
+def known_schemas(parsed: DataFrame) -> dict[str, tuple[list[str], dict[str, str]]]:
+    """Tags and typed fields of each measurement, looked up by ``line_schema`` in one pass."""
+    rows = line_schema(parsed).limit(MAX_KEYS + 1).collect()
+    if len(rows) > MAX_KEYS:
+        raise ValueError(f"the lines have over {MAX_KEYS} keys; name the tags and fields to keep")
+    kinds: dict[str, dict[tuple[str, str], set[str]]] = {}
     for row in rows:
-        if row.part == "field":
-            kinds.setdefault(row.key, set()).add(row.type)
+        kinds.setdefault(row.measurement, {}).setdefault((row.part, row.key), set()).add(row.type)
+    return {name: _typed_keys(name, keys) for name, keys in sorted(kinds.items())}
+
+
+def _typed_keys(measurement: str, keys: dict[tuple[str, str], set[str]]) -> tuple[list[str], dict[str, str]]:
     fields = {}
-    for key, types in sorted(kinds.items()):
+    for (part, key), types in sorted(keys.items()):
+        if part == "tag":
+            continue
         if types == {"bigint", "double"}:
             types = {"double"}
         if len(types) > 1:
             raise ValueError(f"field {key!r} of {measurement!r} has several types: {', '.join(sorted(types))}")
-        fields[key] = types.pop()
-    return tags, fields
+        (fields[key],) = types
+    return sorted(key for part, key in keys if part == "tag"), fields
 
 
 def _lookup(keys: str, values: str, key: str) -> Column:

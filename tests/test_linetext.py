@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.functions.linetext import float_text
 from chronoloom.operators.lines_out import record_lines, table_lines
-from chronoloom.sources.lines import known_schema, line_schema, parse_lines, rejects, typed_rows
+from chronoloom.sources.lines import known_schemas, line_schema, parse_lines, rejects, typed_rows
 
 
 def lines_of(df):
@@ -111,7 +111,7 @@ def test_parse(spark):
     keys = {tuple(r) for r in line_schema(parsed).collect()}
     assert ("we,ird name", "tag", "k=1", "string") in keys
     assert ("we,ird name", "field", "f 1", "bigint") in keys
-    tags, fields = known_schema(parsed, "cpu")
+    tags, fields = known_schemas(parsed)["cpu"]
     assert tags == ["host", "region"]
     assert fields == {"usage": "double", "n": "bigint", "ok": "boolean", "msg": "string"}
     rows = typed_rows(parsed, "cpu", tags, fields, now_us=9).withColumn("us", F.unix_micros("time")).drop("time")
@@ -125,7 +125,7 @@ def test_parse(spark):
 def test_mixed_field_types_are_refused(spark):
     df = spark.createDataFrame([("m a=1",), ('m a="x"',)], "value string")
     with pytest.raises(ValueError, match="several types: double, string"):
-        known_schema(parse_lines(df), "m")
+        known_schemas(parse_lines(df))
 
 
 def test_round_trip_of_awkward_text(spark):

@@ -102,3 +102,52 @@ def test_merge_and_upkeep(space, spark):
     policy = RetentionPolicy(id=1, name="p", database=space.database, retention_days=3, buffer_days=0)
     result = space.run_retention(policy, "2024-01-06", dry_run=False, confirm=True)
     assert result.affected_measurements == ["cpu", "cpu_1h"] and result.deleted_count == 2
+
+
+SAMPLES = [
+    "SELECT * FROM {db}.cpu WHERE host = 'server01'",
+    "SELECT * FROM {db}.cpu WHERE time > now() - INTERVAL '1 hour'",
+    "SELECT * FROM {db}.cpu LIMIT 1000",
+    "SELECT * FROM {db}.cpu ORDER BY time DESC LIMIT 10",
+    "SELECT * FROM {db}.cpu ORDER BY time",
+    "SELECT host, avg(usage_idle) AS a, max(usage_user) AS m FROM {db}.cpu GROUP BY host",
+    "SELECT time_bucket('1 hour', time) as time, host, avg(usage_idle) as usage_idle FROM {db}.cpu GROUP BY 1, 2",
+    "SELECT time_bucket('1h', time) AS t, count(*) FROM {db}.cpu GROUP BY 1",
+    "SHOW DATABASES",
+    "SHOW TABLES FROM {db}",
+]
+
+
+def test_sample_queries_run_unchanged(space):
+    space.write_columnar(
+        "cpu",
+        {
+            "time": [1704067200000000, 1704067201000000, 1704067202000000],
+            "host": ["server01", "server01", "server02"],
+            "region": ["us-east", "us-east", "us-west"],
+            "usage_idle": [95.0, 94.5, 87.3],
+            "usage_user": [3.2, 3.5, 8.1],
+        },
+    )
+    counts = [space.query(sql.format(db=space.database)).count() for sql in SAMPLES]
+    assert counts[:8] == [2, 0, 3, 3, 3, 2, 2, 1] and counts[9] == 1
+    first = space.response(SAMPLES[3].format(db=space.database))
+    assert first["data"][0][0] == 1704067202000000 and first["row_count"] == 3
+    assert space.delete(space.database, "cpu", "time < '2024-01-01'").deleted_count == 0
+    assert space.delete(space.database, "cpu", "time < '2024-01-01T00:00:01Z'").deleted_count == 1
+
+
+def test_a_heavy_day_is_split(space, spark):
+    from chronoloom.session import settings
+
+    rows = spark.range(400_000).select(
+        F.expr("TIMESTAMP'2024-01-01 00:00:00' + make_dt_interval(if(id % 3 = 0, 5, int(id % 9)), 0, 0, id / 10)").alias("time"),
+        F.concat(F.lit("host"), F.col("id") % 7).alias("host"),
+        F.rand(1).alias("value"),
+    )
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}):
+        space.write_dataframe(rows, "load", tag_columns=["host"], cluster=True)
+    per_day = space.read("load").groupBy("day", F.col("_metadata.file_path").alias("f")).count()
+    files = {r.day.day: r.files for r in per_day.groupBy("day").agg(F.count("f").alias("files")).collect()}
+    assert space.read("load").count() == 400_000
+    assert files[6] >= 4 and sum(files.values()) < 40

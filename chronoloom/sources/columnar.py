@@ -25,9 +25,13 @@ def columnar_rows(df: DataFrame, time_unit: str = "us", now_us: int | None = Non
     to_time(F.lit(0), time_unit)
     stamp = now_micros() if now_us is None else now_us
 
-    zipped = _checked_zip(kind)
+    # What is asked of a whole batch is asked before the explode: after it, each row would carry the arrays along.
+    sized = df.select("m", "columns", *_lengths(kind))
     timed = F.col("columns")["time"].isNotNull() if "time" in names else F.lit(False)
-    rows = df.select(F.col("m").alias("_m"), timed.alias("_timed"), F.posexplode(zipped).alias("_pos", "_row"))
+    batches = sized.select(F.col("m").alias("_m"), timed.alias("_timed"), _checked_zip(kind).alias("_rows"))
+    # The outer form, as for the inner one Catalyst would first zip every batch just to see whether it is empty.
+    rows = batches.select("_m", "_timed", F.posexplode_outer("_rows").alias("_pos", "_row"))
+    rows = rows.filter(F.col("_pos").isNotNull())
 
     generated = generated_time(stamp, F.col("_pos"))
     if "time" in names:
@@ -39,30 +43,26 @@ def columnar_rows(df: DataFrame, time_unit: str = "us", now_us: int | None = Non
     return rows.select(F.col("_m").alias("measurement"), time.alias("time"), *values)
 
 
+def _lengths(kind: T.StructType) -> list[Column]:
+    sizes = [F.when(F.col("columns")[f.name].isNotNull(), F.size(F.col("columns")[f.name])) for f in kind.fields]
+    # Twice the first, since both functions want two arguments.
+    return [F.greatest(sizes[0], *sizes).alias("_longest"), F.least(sizes[0], *sizes).alias("_shortest")]
+
+
 def _checked_zip(kind: T.StructType) -> Column:
     # arrays_zip pads short arrays without a word and gives null for a null one, so lengths are checked before.
-    arrays = [F.col("columns")[f.name] for f in kind.fields]
-    sizes = [F.when(a.isNotNull(), F.size(a)) for a in arrays]
-    longest = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
-    shortest = F.least(*sizes) if len(sizes) > 1 else sizes[0]
+    longest, shortest = F.col("_longest"), F.col("_shortest")
     padded = [
-        F.coalesce(a, F.array_repeat(F.lit(None).cast(f.dataType.elementType), longest))
-        for a, f in zip(arrays, kind.fields)
+        F.coalesce(F.col("columns")[f.name], F.array_repeat(F.lit(None).cast(f.dataType.elementType), longest))
+        for f in kind.fields
     ]
+    unequal = F.concat(
+        F.lit("all columns must have the same length, got "), shortest.cast("string"), F.lit(" to "), longest.cast("string")
+    )
     return (
         F.when(F.coalesce(F.col("m"), F.lit("")) == "", F.raise_error(F.lit("measurement name cannot be empty")))
         .when(longest.isNull(), F.raise_error(F.lit("columns cannot be empty")))
-        .when(
-            longest != shortest,
-            F.raise_error(
-                F.concat(
-                    F.lit("all columns must have the same length, got "),
-                    shortest.cast("string"),
-                    F.lit(" to "),
-                    longest.cast("string"),
-                )
-            ),
-        )
+        .when(longest != shortest, F.raise_error(unequal))
         .otherwise(F.arrays_zip(*padded))
     )
 

@@ -93,9 +93,9 @@ def line_schema(parsed: DataFrame) -> DataFrame:
         ),
     )
     keys = parsed.filter(F.col("measurement").isNotNull()).select(
-        "measurement", F.explode(F.concat(tag, field)).alias("k")
+        "measurement", F.explode_outer(F.concat(tag, field)).alias("k")
     )
-    distinct = keys.select("measurement", "k.part", "k.key", "k.type").distinct()
+    distinct = keys.filter(F.col("k").isNotNull()).select("measurement", "k.part", "k.key", "k.type").distinct()
     return distinct.withColumn("key", unescape(F.col("key"), KEY_SPECIAL))
 
 

@@ -26,14 +26,14 @@ from chronoloom.operators.lines_out import record_lines, table_lines, write_line
 from chronoloom.operators.merge import rows_per_measurement, sparse_merge  # noqa: E402
 from chronoloom.operators.results import epoch_rows, row_counts, run_sql  # noqa: E402
 from chronoloom.plans import continuous, deletion, retention  # noqa: E402
-from chronoloom.plans.loading import append_each  # noqa: E402
+from chronoloom.plans.loading import append_each, append_lines  # noqa: E402
 from chronoloom.session import shared_dir  # noqa: E402
 from chronoloom.sources.batches import batch_rows  # noqa: E402
 from chronoloom.sources.columnar import columnar_batches, columnar_rows  # noqa: E402
 from chronoloom.sources.frames import table_rows  # noqa: E402
 from chronoloom.sources.lines import parse_lines, read_lines, typed_rows  # noqa: E402
 from chronoloom.sources.records import record_rows  # noqa: E402
-from chronoloom.streaming.ingest import ingested, start_ingest, stream_points  # noqa: E402
+from chronoloom.streaming.ingest import expose, ingested, start_ingest, stream_points  # noqa: E402
 from chronoloom.streaming.rollup import rollup  # noqa: E402
 
 AS_OF = "2024-01-31"
@@ -339,6 +339,20 @@ def _line_protocol_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(store.read(spark, database, "ticks").drop("day"))
 
 
+def _line_protocol_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of several measurements to a table each, with tags and types found in the text."""
+    events = _table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("measurement"),
+        F.struct("event_id", "value").alias("fields"),
+        F.struct(F.concat(F.lit("u "), "user_id").alias("user")).alias("tags"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("timestamp"),
+    )
+    database = _database(spark)
+    names = append_lines(record_lines(events), database)
+    tables = [store.read(spark, database, name).withColumn("measurement", F.lit(name)) for name in names]
+    return _shown(sparse_merge(tables).drop("day"))
+
+
 # Upkeep
 
 
@@ -461,6 +475,17 @@ def _stream_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(ingested(spark, f"{folder}/rows").drop("day"))
 
 
+def _stream_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over what a stream of several measurements has committed."""
+    folder, database = _folder(configure(spark)), _database(spark)
+    rows = table_rows(_event_stream(spark, sf_dir).select("ts", "event_type", "value"), "ts")
+    rows = rows.withColumnRenamed("event_type", "measurement")
+    start_ingest(rows, f"{folder}/rows", f"{folder}/mark", once=True).awaitTermination()
+    expose(spark, f"{folder}/rows", database, "purchase")
+    sql = "SELECT time_bucket('1 day', time) AS time, max(value) AS top, count(*) AS n FROM purchase GROUP BY 1"
+    return _shown(run_sql(spark, sql, database))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Load events as a measurement, then downsample it by SQL."""
     database = _loaded(spark, "/root/testdata/sf0.001")
@@ -496,6 +521,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "line_protocol_records": _line_protocol_records,
         "line_protocol_text": _line_protocol_text,
         "line_protocol_roundtrip": _line_protocol_roundtrip,
+        "line_protocol_load": _line_protocol_load,
         "cq_run": _cq_run,
         "cq_two_halves": _cq_two_halves,
         "cq_pending": _cq_pending,
@@ -508,6 +534,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retention_history": _retention_history,
         "stream_ingest": _stream_ingest,
         "stream_downsample": _stream_downsample,
+        "stream_sql": _stream_sql,
     }
 
 
@@ -592,6 +619,8 @@ def oracle_sql() -> dict[str, str]:
             || ' ' || doc_id * 1000000000 AS value FROM documents""",
         "line_protocol_text": "SELECT make_timestamp(doc_id * 1000000) AS time, lang, text, n_chars FROM documents",
         "line_protocol_roundtrip": rows,
+        "line_protocol_load": "SELECT event_type AS measurement, ts AS time, 'u ' || user_id AS \"user\", event_id, value "
+        "FROM events",
         "cq_run": with_day(hourly("ts >= TIMESTAMP '2024-01-03 00:00:00' AND ts < TIMESTAMP '2024-01-20 06:00:00'")),
         "cq_two_halves": hourly(),
         "cq_pending": hourly("ts < TIMESTAMP '2024-01-20 17:00:00'"),
@@ -620,4 +649,6 @@ def oracle_sql() -> dict[str, str]:
             max(value) AS top FROM events GROUP BY 1, 2
             HAVING time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour'
               <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""",
+        "stream_sql": "SELECT time_bucket(INTERVAL '1 day', ts) AS time, max(value) AS top, count(*) AS n "
+        "FROM events WHERE event_type = 'purchase' GROUP BY 1",
     }

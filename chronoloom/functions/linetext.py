@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Characters escaped by a backslash, by place.
-MEASUREMENT_SPECIAL = "[, ]"
-KEY_SPECIAL = "[,= ]"
-STRING_SPECIAL = r'["\\]'
+MEASUREMENT_SPECIAL = ", "
+KEY_SPECIAL = ",= "
+STRING_SPECIAL = '\\"'
 
 # The grammar. Every repeat is possessive: the Java matcher then loops instead of recursing, so a string field of
 # any length is matched whole, and no line can make it backtrack.
@@ -27,15 +27,23 @@ FIELD_PAIR = rf"(?s)({KEY})=({VALUE})"
 
 
 def escape(text: Column | str, special: str) -> Column | str:
-    """Put a backslash before each special character, of a column or of a name known at plan time."""
-    if isinstance(text, str):
-        return re.sub(f"({special})", r"\\\1", text)
-    return F.regexp_replace(text, f"({special})", r"\\$1")
+    """Put a backslash before each special character, of a column or of a name known at plan time.
+
+    Plain replacement works on the bytes and hands text without the character through; a regex would decode it first.
+    A backslash, where it is special, comes first in ``special``.
+    """
+    for character in special:
+        if isinstance(text, str):
+            text = text.replace(character, "\\" + character)
+        else:
+            text = F.replace(text, F.lit(character), F.lit("\\" + character))
+    return text
 
 
 def unescape(text: Column, special: str) -> Column:
     """Undo ``escape``; text without a backslash takes no regex."""
-    return F.when(text.contains("\\"), F.regexp_replace(text, rf"\\({special})", "$1")).otherwise(text)
+    escaped = rf"\\([{re.escape(special)}])"
+    return F.when(text.contains("\\"), F.regexp_replace(text, escaped, "$1")).otherwise(text)
 
 
 def float_text(value: Column) -> Column:

@@ -175,13 +175,15 @@ def replace_days(
     rows: DataFrame,
     days: Iterable[date],
     cluster: bool = False,
+    files: DataFrame | None = None,
 ) -> dict[date, int]:
     """Make ``rows`` (with ``day``) the whole content of ``days``; gives the row count by day written.
 
     ``rows`` may be read from the table itself. They are written once, to a new folder under the table; then the
     catalogue is pointed to it day by day and the old files go. Until its turn a day keeps its old content, so a run
     that dies loses nothing and can be repeated. Days without rows are dropped. ``cluster`` is as in ``append``; rows
-    read from the table's own files lie by day already.
+    read from the table's own files lie by day already. ``files`` lists the table's files, ``day, file_path``, where
+    the caller knows them.
     """
     table = quoted(database, measurement)
     root = location(spark, database, measurement)
@@ -196,7 +198,10 @@ def replace_days(
     written = {row[DAY]: row["count"] for row in counts}
 
     have = set(days_of(spark, database, measurement))
-    folders = _folders(spark, database, measurement, have & set(written))
+    if files is None:
+        rows = read(spark, database, measurement).select(DAY, F.col("_metadata.file_path"))
+        files = rows.filter(F.col(DAY).isin(list(have & set(written)))).distinct()
+    folders = _folders(files)
     for day in sorted(written):
         spec = f"PARTITION ({DAY} = '{day}')"
         path = f"{target}/{DAY}={day}"
@@ -211,12 +216,11 @@ def replace_days(
     return written
 
 
-def _folders(spark: SparkSession, database: str, measurement: str, days: Iterable[date]) -> dict[date, list[str]]:
-    """Folders that hold the files of some days: about one row per day, found without reading a column."""
-    rows = read(spark, database, measurement).filter(F.col(DAY).isin(list(days)))
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+def _folders(files: DataFrame) -> dict[date, list[str]]:
+    """Folders by day, about one for each."""
+    folder = F.regexp_replace("file_path", "/[^/]*$", "").alias("folder")
     out: dict[date, list[str]] = {}
-    for row in rows.select(DAY, folder.alias("folder")).distinct().collect():
+    for row in files.select(DAY, folder).distinct().collect():
         out.setdefault(row[DAY], []).append(unquote(row.folder))
     return out
 

@@ -110,7 +110,9 @@ def delete(
         if deleted:
             left = [row[DAY] for row in by_day if row.matched < row.rows]
             rows = read(spark, database, measurement).filter(F.col(DAY).isin(left))
-            replace_days(spark, database, measurement, survivors(rows, where), [row[DAY] for row in by_day])
+            replace_days(
+                spark, database, measurement, survivors(rows, where), [row[DAY] for row in by_day], files=report
+            )
     return DeleteResult(
         success=True,
         deleted_count=deleted,

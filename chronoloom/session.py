@@ -12,11 +12,12 @@ from chronoloom.functions.buckets import register
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set what results depend on: UTC days and buckets, and the SQL function ``time_bucket``.
+    """Set what results depend on: UTC days and buckets, errors in place of silent nulls, and ``time_bucket`` in SQL.
 
     Nothing that sizes a job is set here; shuffle partitions, split sizes and AQE stay with the cluster.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     # The JVM never compiles a method over 8000 bytes. Text work on wide rows makes such methods; past this limit
     # Spark splits the work into small ones instead.
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")

@@ -29,7 +29,7 @@ def batch_rows(
     parts = {f.name: f.dataType for f in kind.fields}
     stamp = now_micros() if now_us is None else now_us
     filled = F.when(
-        F.coalesce(F.size("batch"), F.lit(0)) == 0, F.raise_error(F.lit("batch cannot be empty"))
+        F.col("batch").isNull() | (F.size("batch") == 0), F.raise_error(F.lit("batch cannot be empty"))
     ).otherwise(F.col("batch"))
     items = df.select(F.explode(filled).alias("item"))
 

@@ -35,7 +35,7 @@ def _tag_text(value: Column, kind: T.DataType) -> Column:
 def _map_pairs(pairs: Column, text) -> Column:
     """Pairs of a map, in key order; null text is left out by ``array_join``."""
     parts = F.transform(
-        F.array_sort(F.map_entries(pairs)),
+        F.sort_array(F.map_entries(pairs)),
         lambda e: F.concat(escape(e["key"], KEY_SPECIAL), F.lit("="), text(e["value"])),
     )
     return F.when(F.size(F.array_compact(parts)) > 0, F.array_join(parts, ","))

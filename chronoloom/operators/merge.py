@@ -35,5 +35,6 @@ def sparse_merge(batches: Sequence[DataFrame]) -> DataFrame:
 
 def rows_per_measurement(df: DataFrame, total: bool = False) -> DataFrame:
     """``measurement, rows``; with ``total`` also one row with a null measurement for all."""
-    grouped = df.rollup("measurement") if total else df.groupBy("measurement")
-    return grouped.agg(F.count(F.lit(1)).alias("rows"))
+    counts = df.groupBy("measurement").agg(F.count(F.lit(1)).alias("rows"))
+    # The rollup sees the counts only: over the rows it would double them before they are counted.
+    return counts.rollup("measurement").agg(F.sum("rows").alias("rows")) if total else counts

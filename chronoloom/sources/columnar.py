@@ -80,7 +80,7 @@ def columnar_batches(df: DataFrame, measurement: str, batch_size: int = 10_000,
     else:
         numbered = df.select("*", row.alias("_row"), F.col("_metadata.file_path").alias("_file"))
     keyed = numbered.withColumn("_batch", F.expr(f"_row div {int(batch_size)}"))
-    rows = F.array_sort(F.collect_list(F.struct("_row", *names)))
+    rows = F.sort_array(F.collect_list(F.struct("_row", *names)))
     grouped = keyed.groupBy("_file", "_batch").agg(rows.alias("rows"))
     return grouped.select(
         F.lit(measurement).alias("m"),

@@ -44,28 +44,37 @@ def _width_sql(width: str) -> tuple[str, str, str]:
     return interval, months, micros
 
 
-def _bucket_sql(width: str, time: str) -> str:
-    interval, months, micros = _width_sql(width)
-    since = f"(unix_micros({time}) - {ORIGIN_SECONDS * 1_000_000})"
-    month = f"(year({time}) * 12 + month({time}) - 1)"
-    first = f"({month} - pmod({month} - {ORIGIN_MONTH}, greatest({months}, 1)))"
-    return f"""
-        CASE
-          WHEN {interval} IS NULL THEN raise_error(concat('not a bucket width: ', {width}))
-          WHEN {months} > 0 AND {micros} = 0
-            THEN make_timestamp(CAST(floor({first} / 12) AS INT), pmod({first}, 12) + 1, 1, 0, 0, 0)
-          WHEN {months} = 0 AND {micros} > 0
-            THEN timestamp_micros(unix_micros({time}) - pmod({since}, greatest({micros}, 1)))
-          ELSE raise_error(concat('a bucket width is positive, in months or in shorter units: ', {width}))
-        END"""
+# Marks a session that knows the functions.
+_REGISTERED = "chronoloom.time_bucket.registered"
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``time_bucket(width, time)`` known to the session's SQL."""
+    """Make ``time_bucket(width, time)`` known to the session's SQL.
+
+    The width is taken apart once, in the arguments of a second function, instead of wherever it is used; that keeps
+    the plan small until the constants fold.
+    """
+    if spark.conf.get(_REGISTERED, "") == "true":
+        return
+    _, months, micros = _width_sql("width")
+    since = f"(unix_micros(t) - {ORIGIN_SECONDS * 1_000_000})"
+    month = "(year(t) * 12 + month(t) - 1)"
+    first = f"({month} - pmod({month} - {ORIGIN_MONTH}, greatest(months, 1)))"
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION time_floor(width STRING, months INT, micros BIGINT, t TIMESTAMP)
+        RETURNS TIMESTAMP RETURN CASE
+          WHEN months = 0 AND micros > 0 THEN timestamp_micros(unix_micros(t) - pmod({since}, greatest(micros, 1)))
+          WHEN months > 0 AND micros = 0
+            THEN make_timestamp(CAST(floor({first} / 12) AS INT), pmod({first}, 12) + 1, 1, 0, 0, 0)
+          ELSE raise_error(concat('a bucket width is positive, in months or in shorter units: ', width))
+        END"""
+    )
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION time_bucket(width STRING, t TIMESTAMP) "
-        f"RETURNS TIMESTAMP RETURN {_bucket_sql('width', 't')}"
+        "CREATE OR REPLACE TEMPORARY FUNCTION time_bucket(width STRING, t TIMESTAMP) RETURNS TIMESTAMP "
+        f"RETURN time_floor(width, CAST({months} AS INT), {micros}, t)"
     )
+    spark.conf.set(_REGISTERED, "true")
 
 
 def time_bucket(width: str, time: Column | str) -> Column:

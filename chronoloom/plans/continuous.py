@@ -8,6 +8,7 @@ from dataclasses import dataclass, fields
 from datetime import date, datetime, timedelta
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,9 +81,10 @@ def over_range(spark: SparkSession, query: ContinuousQuery, source: DataFrame) -
     text = mention.sub(lambda m: m.group(1) or store.quoted(name), query.query)
     if not re.search(rf"(?i)(?<![\w.]){re.escape(name)}(?!\w)", text):
         raise ValueError(f"the query does not read {name!r}")
-    if any(t.name.lower() == name.lower() and t.isTemporary for t in spark.catalog.listTables()):
-        raise ValueError(f"a temporary view hides the measurement {name!r}")
-    source.createTempView(store.quoted(name))
+    try:
+        source.createTempView(store.quoted(name))
+    except AnalysisException as error:
+        raise ValueError(f"a temporary view hides the measurement {name!r}") from error
     try:
         with current_database(spark, query.database):
             return spark.sql(text)
@@ -242,7 +244,9 @@ def apply_tiers(
     moment = as_utc(as_of)
     out = {}
     if query.retention_days is not None:
-        out["destination"] = _tier(spark, query, query.destination_measurement, moment, query.retention_days, dry_run, confirm)
+        out["destination"] = _tier(
+            spark, query, query.destination_measurement, moment, query.retention_days, dry_run, confirm
+        )
     mark = mark_of(spark, query)
     if query.delete_source_after_days is not None and mark is not None:
         age = timedelta(days=query.delete_source_after_days)

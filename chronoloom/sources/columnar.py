@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.functions.timeunits import generated_time, now_micros, to_time
+from chronoloom.session import shared_dir
 
 
 def columnar_rows(df: DataFrame, time_unit: str = "us", now_us: int | None = None) -> DataFrame:
@@ -70,13 +71,15 @@ def _checked_zip(kind: T.StructType) -> Column:
 def columnar_batches(df: DataFrame, measurement: str, batch_size: int = 10_000, row: Column | None = None) -> DataFrame:
     """Rows to columnar batches of at most ``batch_size`` rows: ``m, columns``.
 
-    ``row`` numbers the rows, uniquely over the table or within the file named by ``_metadata.file_path``; by default
-    Spark's own row ids are taken. So no batch can outgrow ``batch_size``, whatever the data, and since the rows of a
-    batch lie together they are gathered before the shuffle.
+    ``row`` numbers the rows within the file named by ``_metadata.file_path``, as ``_metadata.row_index`` does. Without
+    it Spark's own row ids are taken; those can differ when a lost task runs again, so the numbered rows are first put
+    into a checkpoint. No batch can outgrow ``batch_size``, whatever the data, and since the rows of a batch lie
+    together they are gathered before the shuffle.
     """
     names = df.columns
     if row is None:
-        numbered = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_file", F.lit(""))
+        shared_dir(df.sparkSession)
+        numbered = df.select("*", F.monotonically_increasing_id().alias("_row"), F.lit("").alias("_file")).checkpoint()
     else:
         numbered = df.select("*", row.alias("_row"), F.col("_metadata.file_path").alias("_file"))
     keyed = numbered.withColumn("_batch", F.expr(f"_row div {int(batch_size)}"))

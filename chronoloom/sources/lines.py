@@ -85,7 +85,9 @@ def line_schema(parsed: DataFrame) -> DataFrame:
 
     One distinct pass; map-side it shrinks to one row per key, whatever the number of lines.
     """
-    tag = F.transform("tag_keys", lambda k: F.struct(F.lit("tag").alias("part"), k.alias("key"), F.lit("string").alias("type")))
+    tag = F.transform(
+        "tag_keys", lambda k: F.struct(F.lit("tag").alias("part"), k.alias("key"), F.lit("string").alias("type"))
+    )
     field = F.transform(
         F.arrays_zip("field_keys", "field_values"),
         lambda e: F.struct(

@@ -13,11 +13,13 @@ WIDTHS = ["90 seconds", "15 minutes", "1 hour", "7 hours", "36 hours", "1 day",
 @pytest.mark.parametrize("width", WIDTHS)
 def test_buckets_match_duckdb(spark, width):
     moments = "SELECT TIMESTAMP '{}' + INTERVAL 1 HOUR * i * 37 + INTERVAL 1 SECOND * i AS t FROM {} "
-    spark.sql(
+    table = spark.sql(
         "SELECT CAST(TIMESTAMP_NTZ'1969-11-03 05:06:07.123456' + make_dt_interval(0, id * 37, 0, id) AS TIMESTAMP) AS t "
         "FROM range(20000)"
-    ).createOrReplaceTempView("moments")
-    ours = spark.sql(f"SELECT CAST(time_bucket('{width}', t) AS TIMESTAMP_NTZ) AS b, count(*) AS n FROM moments GROUP BY 1")
+    )
+    ours = spark.sql(
+        f"SELECT CAST(time_bucket('{width}', t) AS TIMESTAMP_NTZ) AS b, count(*) AS n FROM {{table}} GROUP BY 1", table=table
+    )
     theirs = duckdb.sql(
         f"SELECT time_bucket(INTERVAL '{width}', t) AS b, count(*) AS n FROM "
         f"({moments.format('1969-11-03 05:06:07.123456', 'range(20000) r(i)')}) GROUP BY 1"

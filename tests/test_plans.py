@@ -216,6 +216,13 @@ def test_source_names(spark, loaded):
     assert kept == f"{loaded}.events"
     with pytest.raises(ValueError, match="does not read"):
         over_range(spark, cq(loaded, query="SELECT 1"), source)
+    spark.range(1).createOrReplaceTempView("events")
+    try:
+        with pytest.raises(ValueError, match="temporary view hides"):
+            over_range(spark, cq(loaded), source)
+        assert spark.table("events").count() == 1
+    finally:
+        spark.catalog.dropTempView("events")
 
 
 def test_failed_runs_are_noted(spark, loaded):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import dataclass
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoloom.functions.timeunits import as_utc
 from chronoloom.operators.measurements import DAY, read, replace_days
 from chronoloom.session import shared_dir
 
@@ -43,6 +46,21 @@ def check(database: str, measurement: str, where: str) -> None:
         raise ValueError("where clause is required; use '1=1' with confirm=True to delete all")
 
 
+_CLOCK = re.compile(
+    r"('(?:[^']|'')*')|\b(now\(\s*\)|current_timestamp(?:\(\s*\))?)|\b(current_date(?:\(\s*\))?|curdate\(\s*\))", re.I
+)
+
+
+def at_moment(where: str, as_of: datetime | date | str | None = None) -> str:
+    """The predicate with its clock stopped at ``as_of``, or now.
+
+    A delete reads the table more than once, and every time has to mean the same rows.
+    """
+    moment = datetime.now(timezone.utc) if as_of is None else as_of
+    stamp = f"TIMESTAMP'{as_utc(moment).isoformat(sep=' ')}'"
+    return _CLOCK.sub(lambda m: m.group(1) or (stamp if m.group(2) else f"to_date({stamp})"), where)
+
+
 def survivors(rows: DataFrame, where: str | Column) -> DataFrame:
     """Rows a delete keeps, among them those for which the predicate is null."""
     predicate = F.expr(where) if isinstance(where, str) else where
@@ -79,8 +97,9 @@ def delete(
     dry_run: bool = True,
     confirm: bool = False,
     limits: DeleteLimits = DeleteLimits(),
+    as_of: datetime | date | str | None = None,
 ) -> DeleteResult:
-    """Delete the rows for which ``where`` is true; a dry run only reports.
+    """Delete the rows for which ``where`` is true; a dry run only reports. ``now()`` in it means ``as_of``.
 
     Only days with matching rows are read in full and written again; days left without rows are dropped. A delete
     over ``max_rows_per_delete``, or over the threshold without ``confirm``, is refused before any write.
@@ -89,6 +108,7 @@ def delete(
     check(database, measurement, where)
     if not limits.enabled:
         raise ValueError("delete is switched off")
+    where = at_moment(where, as_of)
     # Kept, since it is read several times and has to outlast the files it was made from.
     report = delete_report(spark, database, measurement, where).checkpoint()
     by_day = (

@@ -151,8 +151,9 @@ class Workspace:
         dry_run: bool = True,
         confirm: bool = False,
         limits: deletion.DeleteLimits = deletion.DeleteLimits(),
+        as_of: Any = None,
     ) -> deletion.DeleteResult:
-        return deletion.delete(self.spark, database, measurement, where, dry_run, confirm, limits)
+        return deletion.delete(self.spark, database, measurement, where, dry_run, confirm, limits, as_of)
 
     def run_retention(
         self, policy: retention.RetentionPolicy, as_of: Any, dry_run: bool = True, confirm: bool = False

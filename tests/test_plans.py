@@ -15,7 +15,7 @@ from chronoloom.plans.continuous import (
     run_pending,
     run_query,
 )
-from chronoloom.plans.deletion import DeleteLimits, delete, delete_report
+from chronoloom.plans.deletion import DeleteLimits, at_moment, delete, delete_report
 from chronoloom.plans.retention import RetentionPolicy, policies_of, retention_plan, retention_runs, run_retention
 from chronoloom.sources.frames import table_rows
 
@@ -104,6 +104,19 @@ def test_delete_all(spark, loaded):
     assert store.read(spark, loaded, "events").count() == 0
 
 
+def test_the_clock_stands_still_during_a_delete(spark, loaded):
+    assert at_moment("a = 'now()' AND t < NOW() - INTERVAL '1 day'", "2024-01-10") == (
+        "a = 'now()' AND t < TIMESTAMP'2024-01-10 00:00:00' - INTERVAL '1 day'"
+    )
+    assert at_moment("d < current_date AND t < current_timestamp()", "2024-01-10T05:00:00Z") == (
+        "d < to_date(TIMESTAMP'2024-01-10 05:00:00') AND t < TIMESTAMP'2024-01-10 05:00:00'"
+    )
+    assert "now" not in at_moment("t < now()")
+    want = store.read(spark, loaded, "events").filter("time < '2024-01-09'").count()
+    got = delete(spark, loaded, "events", "time < now() - INTERVAL '1 day'", dry_run=False, as_of="2024-01-10")
+    assert got.deleted_count == want and store.days_of(spark, loaded, "events")[0] == date(2024, 1, 9)
+
+
 # retention
 
 

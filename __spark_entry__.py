@@ -7,6 +7,7 @@ shared folder.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -36,6 +37,8 @@ from chronoloom.sources.records import record_rows  # noqa: E402
 from chronoloom.streaming.ingest import expose, ingested, start_ingest, stream_points  # noqa: E402
 from chronoloom.streaming.rollup import rollup  # noqa: E402
 
+LLM = importlib.util.find_spec("chronoloom.llm") is not None and importlib.util.find_spec("corpus_pipeline") is not None
+
 AS_OF = "2024-01-31"
 BASE_US = 1_700_000_000_000_000
 BATCH = 1000
@@ -492,6 +495,21 @@ def entry(spark: SparkSession) -> DataFrame:
     return _shown(run_sql(spark, HOURLY.format(source=f"{database}.ticks")))
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import corpus_pipeline
+    from chronoloom.llm import entries
+
+    return entries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _llm_sql() -> dict[str, str]:
+    import corpus_pipeline
+    from chronoloom.llm import entries
+
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return entries.oracle_sql() | whole
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "downsample_hourly": _downsample_hourly,
@@ -535,7 +553,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest": _stream_ingest,
         "stream_downsample": _stream_downsample,
         "stream_sql": _stream_sql,
-    }
+    } | (_llm_queries() if LLM else {})
 
 
 def oracle_sql() -> dict[str, str]:
@@ -651,4 +669,4 @@ def oracle_sql() -> dict[str, str]:
               <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""",
         "stream_sql": "SELECT time_bucket(INTERVAL '1 day', ts) AS time, max(value) AS top, count(*) AS n "
         "FROM events WHERE event_type = 'purchase' GROUP BY 1",
-    }
+    } | (_llm_sql() if LLM else {})

@@ -24,7 +24,7 @@ SKETCH_BITS = 6
 WIDTH = 4
 MIN_ROWS = 50
 #: Measure and the smallest spread taken as real; shares are in thousandths.
-LEAST_SPREAD = {"symbol_share": 20, "capital_share": 40, "dup_line_share": 100, "repeat_share": 60, "mean_length": 150}
+LEAST_SPREAD = {"symbol_share": 20, "capital_share": 40, "dup_line_share": 100, "repeat_share": 120, "mean_length": 1000}
 #: Groups whose thresholds may be sent to every executor; beyond, they are joined by a salted shuffle.
 MAX_SENT_GROUPS = 50_000
 SALTS = 32

@@ -42,6 +42,8 @@ BITS = 17
 
 #: A space beside other white space: only there can a word that begins with a space not be told from the space alone.
 UNEVEN = re.compile(r" \s|\s ")
+#: Put where texts are cut; a text that holds it is cut by the pattern.
+MARK = "\x00"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -146,60 +148,62 @@ def _splitter(pattern: str) -> regex.Pattern:
 
 
 class _Cut:
-    """Distinct words of a run of texts, and each text as their numbers.
+    """Distinct *stretches* of a run of texts, and each text as their numbers.
 
-    Texts are first cut at single spaces, which the pattern keeps with what follows; each distinct stretch between them is
-    then cut by the pattern once.
+    Texts are cut at single spaces, which the pattern keeps with what follows, so a stretch holds whole words. A text in
+    which a space stands beside other white space is cut by the pattern instead.
     """
 
     def __init__(self, pattern: str):
         self.pattern = _splitter(pattern)
-        self.words: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {}
-
-    def _words(self, part: str) -> list[int]:
-        numbers = [self.words.setdefault(w, len(self.words)) for w in self.pattern.findall(part)]
-        self.parts[part] = numbers
-        return numbers
-
-    def text(self, text: str) -> list[int]:
-        if UNEVEN.search(text):
-            return [self.words.setdefault(w, len(self.words)) for w in self.pattern.findall(text)]
-        first, *others = text.split(" ")
-        known, out = self.parts, []
-        out += self._words(first)
-        for part in others:
-            part = " " + part
-            out += known.get(part) or self._words(part)
+        self.numbers: dict[str, int] = {}
+
+    def text(self, text: str) -> list[str]:
+        if MARK in text or UNEVEN.search(text):
+            return self.pattern.findall(text)
+        return text.replace(" ", MARK + " ").split(MARK) if text else []
+
+    def add(self, texts: list[str]) -> list[list[int]]:
+        numbers, out = self.numbers, []
+        for parts in map(self.text, texts):
+            for part in set(parts).difference(numbers):
+                numbers[part] = len(numbers)
+            out.append(list(map(numbers.__getitem__, parts)))
         return out
 
+    def words(self) -> Iterator[list[str]]:
+        """The words of each stretch."""
+        return map(self.pattern.findall, self.numbers)
 
-def _blocks(batches: Iterator[pd.DataFrame], pattern: str) -> Iterator[tuple[list, _Cut, list[list[int]]]]:
-    """Keys of the documents, the words, and the documents as numbers of words, block by block."""
-    keys, cut, docs, size = [], _Cut(pattern), [], 0
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
+    """Keys and texts of the documents, block by block."""
+    keys, texts, size = [], [], 0
     for batch in batches:
         for key, text in zip(batch.iloc[:, 0], batch.iloc[:, 1]):
             text = text or ""
-            if docs and size + len(text) > BLOCK_CHARS:
-                yield keys, cut, docs
-                keys, cut, docs, size = [], _Cut(pattern), [], 0
+            if texts and size + len(text) > BLOCK_CHARS:
+                yield keys, texts
+                keys, texts, size = [], [], 0
             keys.append(key)
-            docs.append(cut.text(text))
+            texts.append(text)
             size += len(text)
-    if docs:
-        yield keys, cut, docs
+    if texts:
+        yield keys, texts
 
 
 def _counter(pattern: str) -> Callable:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, cut, docs in _blocks(batches, pattern):
-            numbers = Counter()
-            for doc in docs:
-                numbers.update(doc)
-            words = list(cut.words)
-            n = [numbers[i] for i in range(len(words))]
-            for at in range(0, len(words), 20_000):
-                yield pd.DataFrame({"word": words[at : at + 20_000], "n": n[at : at + 20_000]})
+        for _, texts in _blocks(batches):
+            cut, stretches, words = _Cut(pattern), Counter(), Counter()
+            for text in texts:
+                stretches.update(cut.text(text))
+            for stretch, n in stretches.items():
+                for word in cut.pattern.findall(stretch):
+                    words[word] += n
+            listed, n = list(words), list(words.values())
+            for at in range(0, len(listed), 20_000):
+                yield pd.DataFrame({"word": listed[at : at + 20_000], "n": n[at : at + 20_000]})
 
     return count
 
@@ -224,24 +228,32 @@ def common_words(texts: DataFrame, pattern: str) -> DataFrame:
 def _encoder(pattern: str, ranks_path: str, common: object) -> Callable:
     def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = common.value
-        for keys, cut, docs in _blocks(batches, pattern):
-            words = list(cut.words)
-            number = np.empty(len(words), np.int32)
-            known, rare = [], []
-            for i, word in enumerate(words):
-                ids = table.get(word)
-                if ids is None and len(word) > LONG // 4 and len(word.encode()) > LONG:
-                    ids = np.array(_library(pattern, ranks_path)._encode_single_piece(word.encode()), np.int32).tobytes()
-                if ids is None:
-                    number[i] = -1 - len(rare)
-                    rare.append(word)
-                else:
-                    number[i] = len(known)
-                    known.append(np.frombuffer(ids, np.int32))
-            number = np.where(number < 0, len(known) - 1 - number, number)
-            numbered = [number[np.array(d, np.int64)] for d in docs]
-            rows = [{"key": k, "words": d} for k, d in zip(keys, numbered)]
-            yield pd.DataFrame({"docs": [rows], "known": [known], "rare": [rare]})
+        for keys, texts in _blocks(batches):
+            cut = _Cut(pattern)
+            docs = cut.add(texts)
+            numbers: dict[str, int] = {}
+            known, rare, stretches = [], [], []
+            for words in cut.words():
+                stretch = []
+                for word in words:
+                    if (at := numbers.get(word)) is None:
+                        ids = table.get(word)
+                        if ids is None and len(word) > LONG // 4 and len(word.encode()) > LONG:
+                            library = _library(pattern, ranks_path)
+                            ids = np.array(library._encode_single_piece(word.encode()), np.int32).tobytes()
+                        if ids is None:
+                            rare.append(word)
+                            at = -len(rare)
+                        else:
+                            at = len(known)
+                            known.append(np.frombuffer(ids, np.int32))
+                        numbers[word] = at
+                    stretch.append(at)
+                stretches.append(stretch)
+            # Rare words are numbered after the known ones.
+            stretches = [np.array([n if n >= 0 else len(known) - 1 - n for n in s], np.int32) for s in stretches]
+            rows = [{"key": k, "parts": np.array(d, np.int32)} for k, d in zip(keys, docs)]
+            yield pd.DataFrame({"docs": [rows], "stretches": [stretches], "known": [known], "rare": [rare]})
 
     return cut_up
 
@@ -268,16 +280,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     others = [c for name, c in zip(docs.columns, columns_of(docs)) if name != "text"]
     rows = docs.select(F.struct(*others).alias("key"), text) if others else docs.select(F.lit(0).alias("key"), text)
     key = rows.schema["key"].dataType.simpleString()
-    kinds = f"docs array<struct<key: {key}, words: array<int>>>, known array<array<int>>, rare array<string>"
+    kinds = f"""docs array<struct<key: {key}, parts: array<int>>>, stretches array<array<int>>, known array<array<int>>,
+        rare array<string>"""
     blocks = rows.mapInPandas(_encoder(pattern, ranks_path, common), kinds)
+
+    def gathered(lists: Column, numbers: Column) -> Column:
+        return F.flatten(F.transform(numbers, lambda i: F.get(lists, i)))
+
+    words = F.concat("known", merged(F.col("rare"), ranks))
+    stretches = _let(words, lambda ids: F.transform("stretches", lambda s: gathered(ids, s)))
     placed = _let(
-        F.concat("known", merged(F.col("rare"), ranks)),
-        lambda ids: F.transform(
-            "docs",
-            lambda d: F.struct(
-                d["key"].alias("doc"), F.flatten(F.transform(d["words"], lambda i: F.get(ids, i))).alias("ids")
-            ),
-        ),
+        stretches,
+        lambda ids: F.transform("docs", lambda d: F.struct(d["key"].alias("doc"), gathered(ids, d["parts"]).alias("ids"))),
     )
     # A block has at least one document. The plain form of inline would test the size first, and so merge twice.
     return blocks.select(placed.alias("docs")).select(F.inline_outer("docs"))

@@ -21,6 +21,7 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -37,11 +38,11 @@ from chronoloom.llm.files import open_in, open_out
 MAGIC = b"IDHUF001"
 MAX_BITS = 20
 BLOCK_IDS = 1024
-#: Ids decoded side by side, and documents to a file.
+#: Ids packed or decoded at a time, a number of whole blocks, and ids in a file.
 RUN_IDS = 1 << 18
-FILE_IDS = 1 << 26
+FILE_IDS = 1 << 24
 #: Stretches of text kept with their ids by a worker.
-MAX_KEPT = 300_000
+MAX_KEPT = 250_000
 
 
 # Encoding
@@ -65,31 +66,21 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.kept: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.kept: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [text.split(" ") for text in texts]
         kept, older = self.kept, self.older
-        new: dict[str, None] = {}
-        for parts in cut:
-            for part in parts:
-                if part not in kept:
-                    if part in older:
-                        kept[part] = older[part]
-                    else:
-                        new[part] = None
-        listed = list(new)
+        new = set().union(*cut).difference(kept)
+        for part in new.intersection(older):
+            kept[part] = older[part]
+        listed = list(new.difference(older))
         for at in range(0, len(listed), 10_000):
             some = listed[at : at + 10_000]
             for part, one in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                kept[part] = one.ids
-        out = []
-        for parts in cut:
-            ids: list[int] = []
-            for part in parts:
-                ids += kept[part]
-            out.append(ids)
+                kept[part] = tuple(one.ids)
+        out = [list(chain.from_iterable(map(kept.__getitem__, parts))) for parts in cut]
         if len(kept) > MAX_KEPT:
             self.kept, self.older = {}, kept
         return out
@@ -223,7 +214,13 @@ def unpack(stream: bytes, offsets: np.ndarray, count: int, packed_lengths: bytes
 def _write_file(path: str, doc_ids: list[int | None], docs: list[np.ndarray], packed_lengths: bytes, codes: tuple) -> None:
     lengths, words = codes
     ids = np.concatenate(docs)
-    stream, offsets = pack(ids, lengths, words)
+    streams, offsets, at = [], [], 0
+    for first in range(0, len(ids), RUN_IDS):
+        stream, starts = pack(ids[first : first + RUN_IDS], lengths, words)
+        streams.append(stream)
+        offsets.append(starts + 8 * at)
+        at += len(stream)
+    stream, offsets = b"".join(streams), np.concatenate(offsets)
     numbers = np.array([0 if d is None else d for d in doc_ids], "<i8")
     sections = {
         "lengths": packed_lengths,

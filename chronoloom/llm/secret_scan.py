@@ -101,7 +101,7 @@ def scan(docs: DataFrame, ledger: str) -> DataFrame:
 
 
 def _only(docs: DataFrame, here: DataFrame, new: DataFrame) -> DataFrame:
-    """Texts of the unseen blobs, one path each. Rows without a path are always among them.
+    """Texts of the unseen blobs, one path each; rows without a path for blobs that no other row has.
 
     The smaller of both sides, the pairs to scan or the pairs to leave out, is sent to the executors if it is small
     enough; else texts are shuffled once by path and blob.
@@ -111,12 +111,16 @@ def _only(docs: DataFrame, here: DataFrame, new: DataFrame) -> DataFrame:
     rest = here.filter("doc_id IS NOT NULL").select("doc_id", "blob").distinct()
     rest = written(rest.join(wanted, ["doc_id", "blob"], "left_anti"), "known")
     limit = MAX_SENT_IDS // 8  # an address is 64 bytes
+    named = rows.filter("doc_id IS NOT NULL")
     if rest.limit(limit + 1).count() <= limit:
-        return rows.join(F.broadcast(rest), ["doc_id", "blob"], "left_anti")
-    nameless = rows.filter("doc_id IS NULL").join(new.select("blob"), "blob", "left_semi").select("doc_id", "blob", "text")
-    if wanted.limit(limit + 1).count() <= limit:
-        wanted = F.broadcast(wanted)
-    return rows.join(wanted, ["doc_id", "blob"], "left_semi").unionByName(nameless)
+        texts = named.join(F.broadcast(rest), ["doc_id", "blob"], "left_anti")
+    else:
+        few = wanted.limit(limit + 1).count() <= limit
+        texts = named.join(F.broadcast(wanted) if few else wanted, ["doc_id", "blob"], "left_semi")
+    if here.filter("doc_id IS NULL").isEmpty():
+        return texts
+    nameless = rows.filter("doc_id IS NULL").join(new.filter("doc_id IS NULL").select("blob"), "blob", "left_semi")
+    return texts.unionByName(nameless)
 
 
 def _listed(spans: F.Column) -> F.Column:

@@ -46,13 +46,12 @@ def ruled(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column
 def _grams(text: Column, mark: str) -> list[Column]:
     """Arrays of n-grams of a text with its ends marked; one for each size."""
     ends = F.concat(F.lit("\x02"), text, F.lit("\x03"))
-    return [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(ends) - size + 1, F.lit(1))),
-            lambda i, size=size: F.concat(F.lit(f"{mark}{size}"), F.substr(ends, i, F.lit(size))),
-        )
-        for size in SIZES
-    ]
+
+    def of(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(ends) - size + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.concat(F.lit(f"{mark}{size}"), F.substr(ends, i, F.lit(size))))
+
+    return [of(size) for size in SIZES]
 
 
 def featured(rows: DataFrame) -> DataFrame:

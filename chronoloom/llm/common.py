@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.session import shared_dir
+from chronoloom.session import settings, shared_dir
 
 #: Characters between words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -22,10 +23,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
 
 
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Hand rows to Python workers a few at a time, as a row may hold a long text."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"})
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: worked out once, and safe from lost executors."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

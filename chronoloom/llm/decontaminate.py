@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoloom.llm.common import written
+
 Q = 10
 LENGTH = 96
 PER_EDIT = 12
@@ -33,6 +35,8 @@ SLOTS = 1 << 22
 GAP, FILLER = 4 * LENGTH, 0xFFFFFFFF
 #: Characters looked through at a time.
 GROUP_CHARS = 100_000
+#: Rows taken out of an Arrow batch at a time.
+SLICE = 256
 #: Stretches verified in one go.
 VERIFIED = 20_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -226,9 +230,11 @@ def _finder(items: list[tuple[int, str]]) -> Callable:
         patterns = Patterns(items)
         for batch in batches:
             out = []
-            ids = batch.column(0).to_pylist()
-            for first, texts in groups(batch.column(1).to_pylist()):
-                out += [(ids[first + i], *leak) for i, *leak in patterns.leaks(texts)]
+            for low in range(0, batch.num_rows, SLICE):
+                part = batch.slice(low, SLICE)
+                ids = part.column(0).to_pylist()
+                for first, texts in groups(part.column(1).to_pylist()):
+                    out += [(ids[first + i], *leak) for i, *leak in patterns.leaks(texts)]
             columns = list(zip(*out)) or [()] * 6
             kinds = [pa.int64()] * 4 + [pa.int32()] * 2
             names = ["doc_id", "item_id", "doc_start", "doc_end", "patterns", "edits"]
@@ -247,17 +253,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for items in blocks(benchmark):
         part = texts.mapInArrow(_finder(items), LEAK)
         out = part if out is None else out.unionAll(part)
-    return docs.sparkSession.createDataFrame([], LEAK) if out is None else out
+    return docs.sparkSession.createDataFrame([], LEAK) if out is None else written(out, "leaks")
 
 
 def _cleaner(items: list[tuple[int, str]], at: int) -> Callable:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = Patterns(items)
         for batch in batches:
-            clean = np.ones(batch.num_rows, bool)
-            for first, texts in groups(batch.column(at).to_pylist()):
-                clean[[first + leak[0] for leak in patterns.leaks(texts)]] = False
-            yield batch.filter(pa.array(clean))
+            for low in range(0, batch.num_rows, SLICE):
+                part = batch.slice(low, SLICE)
+                clean = np.ones(part.num_rows, bool)
+                for first, texts in groups(part.column(at).to_pylist()):
+                    clean[[first + leak[0] for leak in patterns.leaks(texts)]] = False
+                yield part.filter(pa.array(clean))
 
     return keep
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoloom.llm.common import MAX_SENT_IDS, columns_of, packed, scratch, written
+from chronoloom.llm.common import MAX_SENT_IDS, columns_of, packed, scratch, small_batches, written
 
 RULES = "2"
 SPAN = "array<struct<start: int, kind: int, end: int>>"
@@ -92,7 +92,8 @@ def scan(docs: DataFrame, ledger: str) -> DataFrame:
     # A blob may come twice if rows repeat its path; findings are equal, so any will do.
     once = texts.mapInPandas(_scan, f"blob string, spans {SPAN}").groupBy("blob").agg(F.max("spans").alias("spans"))
     run = scratch(spark, "run").rpartition("/")[2].removeprefix("run-")
-    once.withColumn("rules", F.lit(RULES)).write.parquet(f"{ledger}/run={run}")
+    with small_batches(spark):
+        once.withColumn("rules", F.lit(RULES)).write.parquet(f"{ledger}/run={run}")
     known = _ledger(spark, ledger).filter((F.col("rules") == RULES) & (F.size("spans") > 0)).select("blob", "spans")
     # Two runs at a time may both scan a blob.
     known = known.groupBy("blob").agg(F.max("spans").alias("spans"))

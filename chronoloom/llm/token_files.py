@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoloom.llm.common import scratch, written
+from chronoloom.llm.common import scratch, small_batches, written
 from chronoloom.llm.files import open_in, open_out
 
 MAGIC = b"IDHUF001"
@@ -364,7 +364,8 @@ def token_table(docs: DataFrame, tokenizer_path: str, end: int = 1) -> DataFrame
     """One row per document, read back from the files: place, number and checksum of its ids."""
     spark = docs.sparkSession
     path = scratch(spark, "ids")
-    encoded(docs, tokenizer_path, end).write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        encoded(docs, tokenizer_path, end).write.option("compression", "zstd").parquet(path)
     rows = spark.read.schema("doc_id bigint, ids array<int>").parquet(path)
     back = read_files(write_files(rows, scratch(spark, "token-files")))
     return back.select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), _crc("ids").alias("ids_crc32"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 from datetime import date, datetime, timedelta
 from uuid import uuid4
@@ -93,15 +94,28 @@ def over_range(spark: SparkSession, query: ContinuousQuery, source: DataFrame) -
 
 
 def mark_of(spark: SparkSession, query: ContinuousQuery) -> datetime | None:
-    """End of what has been covered: the newest end in the run history, or the mark given with the definition."""
-    marks = [as_utc(query.last_processed_time)] if query.last_processed_time else []
+    """End of what has been covered without a gap from the source's least time on; None if that is not covered.
+
+    Completed runs of the history count, and the mark given with the definition, which covers all before it. A later run
+    beyond a gap does not move the mark, so ``run_pending`` fills the gap and no tier drops rows that were never read.
+    """
+    ranges = [(datetime.min, as_utc(query.last_processed_time))] if query.last_processed_time else []
     if store.exists(spark, query.database, QUERY_RUNS):
         done = spark.table(store.quoted(query.database, QUERY_RUNS)).filter(
             (F.col("query_id") == query.id) & (F.col("status") == "completed")
         )
-        newest = done.agg(F.max("end_time").cast("timestamp_ntz").alias("mark")).first().mark
-        marks += [newest] if newest else []
-    return max(marks, default=None)
+        times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("start_time", "end_time")]
+        ranges += [(row.start_time, row.end_time) for row in done.select(*times).distinct().collect()]
+    if not ranges:
+        return None
+    least = _least_time(spark, query)
+    if least is None:
+        return max(end for _, end in ranges)
+    reach = least
+    for start, end in sorted(ranges):
+        if start <= reach:
+            reach = max(reach, end)
+    return reach if reach > least else None
 
 
 def covered_range(
@@ -119,14 +133,30 @@ def covered_range(
             return None
     else:
         first = as_utc(start)
-    low = min(bucket_start(spark, width, first) for width in widths)
+    low = _bound(spark, widths, first, bucket_start)
     if end is None:
-        high = min(bucket_start(spark, width, as_utc(as_of)) for width in [*widths, query.interval])
+        high = _bound(spark, [*widths, query.interval], as_utc(as_of), bucket_start)
     else:
-        high = max(bucket_end(spark, width, as_utc(end)) for width in widths)
+        high = _bound(spark, widths, as_utc(end), bucket_end)
+    if query.delete_source_after_days is not None:
+        # Results over source days that a tier has dropped cannot be worked out again, so they stay as they are.
+        days = store.days_of(spark, query.database, query.source_measurement)
+        if days:
+            low = max(low, _bound(spark, widths, datetime.combine(days[0], datetime.min.time()), bucket_start))
     return (low, high) if low < high else None
 
 
+def _bound(spark: SparkSession, widths: list[str], moment: datetime, edge: Callable) -> datetime:
+    """The nearest moment on one side that is a bucket bound of every width."""
+    while True:
+        moved = moment
+        for width in widths:
+            moved = edge(spark, width, moved)
+        if moved == moment:
+            return moment
+        moment = moved
+
+
 def _least_time(spark: SparkSession, query: ContinuousQuery) -> datetime | None:
     days = store.days_of(spark, query.database, query.source_measurement)
     if not days:

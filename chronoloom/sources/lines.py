@@ -146,8 +146,12 @@ def typed_rows(
         raise ValueError("fields cannot be empty")
     if "time" in tags or "time" in fields:
         raise ValueError("a tag or field may not be called 'time'")
-    stamp = now_micros() if now_us is None else now_us
-    columns = [F.coalesce(nanos_to_time(F.col("time_ns")), F.timestamp_micros(F.lit(stamp).cast("bigint"))).alias("time")]
+    if now_us is None and parsed.isStreaming:
+        # Fixed for each micro-batch, where the driver's clock would be fixed for the whole stream.
+        stamp = F.current_timestamp()
+    else:
+        stamp = F.timestamp_micros(F.lit(now_micros() if now_us is None else now_us).cast("bigint"))
+    columns = [F.coalesce(nanos_to_time(F.col("time_ns")), stamp).alias("time")]
     for key in tags:
         columns.append(unescape(_lookup("tag_keys", "tag_values", key), KEY_SPECIAL).alias(key))
     for key, kind in fields.items():

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.operators import measurements as store
 from chronoloom.operators.results import run_sql
+from chronoloom.plans import continuous
 from chronoloom.plans.continuous import (
     ContinuousQuery,
     apply_tiers,
@@ -259,3 +260,26 @@ def test_tiers(spark, loaded):
     assert store.days_of(spark, loaded, "events")[0] == date(2024, 1, 25)
     assert store.days_of(spark, loaded, "events_1h")[0] == date(2024, 1, 11)
     assert timedelta(0) < timedelta(milliseconds=got["source"].execution_time_ms)
+
+
+def test_gap_is_filled_and_kept(spark, database, events):
+    """A run beyond a gap moves no mark: tiers drop nothing, and the next turn covers all from the start."""
+    store.append(table_rows(events.select("ts", "event_type", "value"), "ts"), database, "ticks", tags=["event_type"])
+    sql = f"SELECT time_bucket('2 hours', time) AS time, time_bucket('3 hours', max(time)) AS top FROM {database}.ticks GROUP BY 1"
+    query = continuous.ContinuousQuery(
+        id=5, name="two widths", database=database, source_measurement="ticks", destination_measurement="two",
+        query=sql, interval="1h", delete_source_after_days=3,
+    )
+    continuous.run_query(spark, query, "2024-01-20T01:00:00", "2024-01-25")
+    assert continuous.mark_of(spark, query) is None
+    days = store.days_of(spark, database, "ticks")
+    continuous.apply_tiers(spark, query, "2024-01-31", dry_run=False, confirm=True)
+    assert store.days_of(spark, database, "ticks") == days
+    run = continuous.run_pending(spark, query, "2024-01-28")
+    assert run.start_time.date() == days[0] and run.end_time.hour % 6 == 0
+    before = store.read(spark, database, "two").count()
+    continuous.apply_tiers(spark, query, "2024-01-28", dry_run=False, confirm=True)
+    left = store.days_of(spark, database, "ticks")
+    assert days[0] < left[0]
+    continuous.run_query(spark, query, "2024-01-03", "2024-01-28")
+    assert store.read(spark, database, "two").count() == before

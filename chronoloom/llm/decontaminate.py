@@ -69,17 +69,16 @@ def _grams(points: np.ndarray) -> np.ndarray:
     """Hash of the q-gram at each place, put together from its halves."""
     if len(points) < Q:
         return np.zeros(0, np.uint64)
-    ready = {1: points.astype(np.uint64) + np.uint64(1)}
-
-    def of(size: int) -> np.ndarray:
-        if size not in ready:
-            left, right = of(size - size // 2), of(size // 2)
-            n = len(points) - size + 1
-            ready[size] = left[:n] * np.uint64(pow(int(BASE), size // 2, 1 << 64)) + right[size - size // 2 :][:n]
-        return ready[size]
-
+    single = points.astype(np.uint64) + np.uint64(1)
+    total, size = single, 1
     with np.errstate(over="ignore"):
-        total = of(Q) * BASE
+        for digit in f"{Q:b}"[1:]:
+            total = total[:-size] * np.uint64(pow(int(BASE), size, 1 << 64)) + total[size:]
+            size *= 2
+            if digit == "1":
+                total = total[:-1] * BASE + single[size:]
+                size += 1
+        total *= BASE
     return total ^ (total >> np.uint64(32))
 
 

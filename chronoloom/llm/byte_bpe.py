@@ -19,18 +19,18 @@ equal rows.
 from __future__ import annotations
 
 import base64
-import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import columns_of, packed, written
+from chronoloom.llm.common import columns_of, written
 
 MAX_COMMON = 1 << 18
 BLOCK_CHARS = 4_000_000
@@ -41,9 +41,9 @@ FACTORS = (40503, 48271)
 BITS = 17
 
 #: A space beside other white space: only there can a word that begins with a space not be told from the space alone.
-UNEVEN = re.compile(r" \s|\s ")
-#: Put where texts are cut; a text that holds it is cut by the pattern.
-MARK = "\x00"
+UNEVEN = r" [\s\pZ\x0b\x1c-\x1f\x{85}]|[\s\pZ\x0b\x1c-\x1f\x{85}] "
+#: Stretches that are one word to the pattern.
+PLAIN = r"^ ?\pL+$"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -147,63 +147,59 @@ def _splitter(pattern: str) -> regex.Pattern:
     return regex.compile(pattern)
 
 
-class _Cut:
-    """Distinct *stretches* of a run of texts, and each text as their numbers.
+def _cut(texts: pa.Array, pattern: str) -> tuple[pa.ListArray, np.ndarray, pa.Array, np.ndarray]:
+    """Texts as numbers of distinct *stretches*, the number of words of each stretch, distinct words, and stretches as words.
 
-    Texts are cut at single spaces, which the pattern keeps with what follows, so a stretch holds whole words. A text in
-    which a space stands beside other white space is cut by the pattern instead.
+    Texts are cut at single spaces, which the pattern keeps with what follows, so a stretch holds whole words; one of
+    nothing but letters is a word. A text in which a space stands beside other white space is cut by the pattern instead.
+    The cuts are marked with a character that no text of the run holds, and Arrow splits there and numbers the stretches.
     """
-
-    def __init__(self, pattern: str):
-        self.pattern = _splitter(pattern)
-        self.numbers: dict[str, int] = {}
-
-    def text(self, text: str) -> list[str]:
-        if MARK in text or UNEVEN.search(text):
-            return self.pattern.findall(text)
-        return text.replace(" ", MARK + " ").split(MARK) if text else []
-
-    def add(self, texts: list[str]) -> list[list[int]]:
-        numbers, out = self.numbers, []
-        for parts in map(self.text, texts):
-            for part in set(parts).difference(numbers):
-                numbers[part] = len(numbers)
-            out.append(list(map(numbers.__getitem__, parts)))
-        return out
-
-    def words(self) -> Iterator[list[str]]:
-        """The words of each stretch."""
-        return map(self.pattern.findall, self.numbers)
-
-
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
+    find = _splitter(pattern).findall
+    signs = map(chr, chain(range(0xD800), range(0xE000, 0x110000)))
+    mark = next(m for m in signs if not pc.any(pc.match_substring(texts, m)).as_py())
+    marked, uneven = pc.replace_substring(texts, " ", mark + " "), pc.match_substring_regex(texts, UNEVEN)
+    if pc.any(uneven).as_py():
+        cut = [mark.join(find(t)) for t in texts.filter(uneven).to_pylist()]
+        marked = pc.replace_with_mask(marked, uneven, pa.array(cut, pa.string()))
+    parts = pc.split_pattern(marked, mark)
+    coded = parts.flatten().dictionary_encode()
+    stretches = coded.dictionary
+    plain = pc.match_substring_regex(stretches, PLAIN)
+    others = list(map(find, stretches.filter(pc.invert(plain)).to_pylist()))
+    words = pa.array(chain.from_iterable(others), pa.string())
+    words = pa.concat_arrays([stretches.filter(plain), words]).dictionary_encode()
+    plain = plain.to_numpy(zero_copy_only=False)
+    sizes = np.ones(len(plain), np.int64)
+    sizes[~plain] = np.fromiter(map(len, others), np.int64, len(others))
+    alone, order = np.repeat(plain, sizes), np.zeros(int(sizes.sum()), np.int32)
+    indices = words.indices.to_numpy()
+    order[alone], order[~alone] = np.split(indices, [np.count_nonzero(plain)])
+    return pa.ListArray.from_arrays(parts.offsets, coded.indices), sizes, words.dictionary, order
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
     """Keys and texts of the documents, block by block."""
-    keys, texts, size = [], [], 0
     for batch in batches:
-        for key, text in zip(batch.iloc[:, 0], batch.iloc[:, 1]):
-            text = text or ""
-            if texts and size + len(text) > BLOCK_CHARS:
-                yield keys, texts
-                keys, texts, size = [], [], 0
-            keys.append(key)
-            texts.append(text)
-            size += len(text)
-    if texts:
-        yield keys, texts
+        keys, texts = batch.column(0), pc.fill_null(batch.column(1), "")
+        first, size = 0, 0
+        for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
+            if i > first and size + n > BLOCK_CHARS:
+                yield keys.slice(first, i - first), pa.concat_arrays([texts.slice(first, i - first)])
+                first, size = i, 0
+            size += n
+        if len(texts):
+            yield keys.slice(first), pa.concat_arrays([texts.slice(first)])
 
 
 def _counter(pattern: str) -> Callable:
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _blocks(batches):
-            cut, stretches, words = _Cut(pattern), Counter(), Counter()
-            for text in texts:
-                stretches.update(cut.text(text))
-            for stretch, n in stretches.items():
-                for word in cut.pattern.findall(stretch):
-                    words[word] += n
-            listed, n = list(words), list(words.values())
-            for at in range(0, len(listed), 20_000):
-                yield pd.DataFrame({"word": listed[at : at + 20_000], "n": n[at : at + 20_000]})
+            numbers, sizes, words, order = _cut(texts, pattern)
+            times = np.bincount(numbers.flatten().to_numpy(), minlength=len(sizes))
+            n = np.bincount(order, np.repeat(times, sizes), len(words)).astype(np.int64)
+            table = pa.RecordBatch.from_arrays([words, pa.array(n)], ["word", "n"])
+            for at in range(0, table.num_rows, 20_000):
+                yield table.slice(at, 20_000)
 
     return count
 
@@ -213,7 +209,7 @@ def common_words(texts: DataFrame, pattern: str) -> DataFrame:
 
     The bound on the count is a power of two, found from the number of words by size of their count.
     """
-    counts = texts.mapInPandas(_counter(pattern), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(_counter(pattern), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = written(counts.filter((F.octet_length("word") <= 64) & (F.col("n") > 1)), "words")
     sizes = counts.groupBy(F.length(F.bin("n")).alias("bits")).count().orderBy(F.col("bits").desc()).collect()
     total, least = 0, 64
@@ -226,38 +222,36 @@ def common_words(texts: DataFrame, pattern: str) -> DataFrame:
 
 
 def _encoder(pattern: str, ranks_path: str, common: object) -> Callable:
-    def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = common.value
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, table_ids = common.value
         for keys, texts in _blocks(batches):
-            cut = _Cut(pattern)
-            docs = cut.add(texts)
-            numbers: dict[str, int] = {}
-            known, rare, stretches = [], [], []
-            for words in cut.words():
-                stretch = []
-                for word in words:
-                    if (at := numbers.get(word)) is None:
-                        ids = table.get(word)
-                        if ids is None and len(word) > LONG // 4 and len(word.encode()) > LONG:
-                            library = _library(pattern, ranks_path)
-                            ids = np.array(library._encode_single_piece(word.encode()), np.int32).tobytes()
-                        if ids is None:
-                            rare.append(word)
-                            at = -len(rare)
-                        else:
-                            at = len(known)
-                            known.append(np.frombuffer(ids, np.int32))
-                        numbers[word] = at
-                    stretch.append(at)
-                stretches.append(stretch)
-            # Rare words are numbered after the known ones.
-            stretches = [np.array([n if n >= 0 else len(known) - 1 - n for n in s], np.int32) for s in stretches]
-            rows = [{"key": k, "parts": np.array(d, np.int32)} for k, d in zip(keys, docs)]
-            yield pd.DataFrame({"docs": [rows], "stretches": [stretches], "known": [known], "rare": [rare]})
+            numbers, sizes, words, order = _cut(texts, pattern)
+            place = pc.index_in(words, table)
+            known, long = place.is_valid().to_numpy(zero_copy_only=False), np.array(pc.binary_length(words)) > LONG
+            # Common words are numbered first, then long ones, then those left to be merged.
+            kind = np.where(known, 0, np.where(long, 1, 2))
+            number = np.zeros(len(kind), np.int32)
+            number[np.argsort(kind, kind="stable")] = np.arange(len(kind))
+            piece = _library(pattern, ranks_path)._encode_single_piece if 1 in kind else None
+            long_ids = [piece(word.encode()) for word in words.filter(pa.array(kind == 1)).to_pylist()]
+            columns = {
+                "docs": pa.StructArray.from_arrays([keys, numbers], ["key", "parts"]),
+                "stretches": _lists(sizes, number[order]),
+                "known": pa.concat_arrays([table_ids.take(place.drop_null()), pa.array(long_ids, table_ids.type)]),
+                "rare": words.filter(pa.array(kind == 2)),
+            }
+            whole = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns.values()]
+            yield pa.RecordBatch.from_arrays(whole, list(columns))
 
     return cut_up
 
 
+def _lists(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    """Lists of these sizes, with their values end to end."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
+
+
 @lru_cache(maxsize=1)
 def _library(pattern: str, path: str):
     import tiktoken
@@ -273,16 +267,17 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     listed = common_words(docs.select(F.lit(0).alias("key"), text), pattern)
     batch = F.struct(F.collect_list("word").alias("words")).alias("b")
     grouped = listed.groupBy(F.pmod(F.xxhash64("word"), F.lit(64)).alias("part")).agg(batch).select("b.words")
-    table: dict[str, bytes] = {}
+    table, ids = [pa.array([], pa.string())], [pa.array([], pa.list_(pa.int32()))]
     for row in grouped.select("words", merged(F.col("words"), ranks).alias("ids")).toLocalIterator():
-        table.update({w: np.array(ids, np.int32).tobytes() for w, ids in zip(row["words"], row["ids"])})
-    common = spark.sparkContext.broadcast(table)
+        table.append(pa.array(row["words"], pa.string()))
+        ids.append(pa.array(row["ids"], pa.list_(pa.int32())))
+    common = spark.sparkContext.broadcast((pa.concat_arrays(table), pa.concat_arrays(ids)))
     others = [c for name, c in zip(docs.columns, columns_of(docs)) if name != "text"]
     rows = docs.select(F.struct(*others).alias("key"), text) if others else docs.select(F.lit(0).alias("key"), text)
     key = rows.schema["key"].dataType.simpleString()
     kinds = f"""docs array<struct<key: {key}, parts: array<int>>>, stretches array<array<int>>, known array<array<int>>,
         rare array<string>"""
-    blocks = rows.mapInPandas(_encoder(pattern, ranks_path, common), kinds)
+    blocks = rows.mapInArrow(_encoder(pattern, ranks_path, common), kinds)
 
     def gathered(lists: Column, numbers: Column) -> Column:
         return F.flatten(F.transform(numbers, lambda i: F.get(lists, i)))

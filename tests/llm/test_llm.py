@@ -282,6 +282,20 @@ def test_simhash(docs, none, table):
     assert simhash.simhash_table(none).collect() == [] and simhash.simhash_filter(none).collect() == []
 
 
+def test_simhash_filter_keeps_one_row_of_each_component(spark):
+    text = lambda seed: " ".join(np.random.default_rng(seed).choice(list("abcdefghijklmnopqrstuvwxyz"), 90))
+    data = [
+        (5, text(1)), (7, text(1)), (5, text(2)), (3, text(2)),  # 5 is the least of the first, and not of the second
+        (8, text(3)), (8, text(4)), (8, text(4)),  # one id, two unlinked texts, a repeated row
+        (None, text(5)), (None, text(5)), (None, text(6)), (9, text(6)),
+    ]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string")
+    want = [(3, text(2)), (5, text(1)), (8, text(3)), (8, text(4)), (9, text(6)), (None, text(5))]
+    assert sorted(map(repr, map(tuple, simhash.simhash_filter(frame).collect()))) == sorted(map(repr, want))
+    got = {(r.doc_id, r.component_id) for r in simhash.simhash_table(frame).collect()}
+    assert got == {(5, 5), (7, 5), (5, 3), (3, 3), (8, 8), (None, None), (None, 9), (9, 9)}
+
+
 def test_keys_miss_no_link():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)

@@ -131,6 +131,45 @@ def test_leaks_with_edits():
     assert [x[:2] for x in patterns.leaks([filler, filler + "".join(near) + filler, ""])] == [(1, 5)]
 
 
+def test_leaks_of_passages_from_every_offset():
+    rng = np.random.default_rng(4)
+    prose = lambda n: " ".join("".join(rng.choice(list("abcdefghijk"), rng.integers(2, 8))) for _ in range(n))
+    item, filler = prose(60), prose(80)
+    assert len(item) > 250
+    patterns = decontaminate.Patterns([(4, prose(40)), (5, item), (6, "short " * 6)])
+    size = decontaminate.LENGTH
+
+    def edits(text):
+        """Fewest edits between any stretch of the item and any part of the text, by brute force."""
+        text, least = np.array(list(text)), size
+        own = np.array(list(item))
+        starts = np.arange(len(item) - size + 1)
+        steps = np.arange(len(text) + 1)
+        row = np.zeros((len(starts), len(text) + 1), int)
+        for i in range(size):
+            new = np.empty_like(row)
+            new[:, 0] = i + 1
+            new[:, 1:] = np.minimum(row[:, :-1] + (text != own[starts + i][:, None]), row[:, 1:] + 1)
+            row = np.minimum.accumulate(new - steps, axis=1) + steps
+        return min(least, int(row.min()))
+
+    for start in range(1, len(item) - size - 1):
+        passage = item[start : start + size]
+        if passage == passage.strip():
+            got = patterns.leaks([filler, filler[:150] + "Q" + passage + "Q" + filler[150:]])
+            assert [(x[0], x[1], x[5]) for x in got] == [(1, 5, 0)]
+    for trial in range(60):
+        start = int(rng.integers(len(item) - size))
+        near = list(item[start : start + size])
+        for _ in range(trial % 12):
+            at = int(rng.integers(len(near)))
+            near[at : at + int(rng.integers(2))] = ["q"] * int(rng.integers(2))
+        text = " ".join((filler[:60] + "Q" + "".join(near) + "Q" + filler[60:120]).lower().split())
+        want = edits(text)
+        got = [x[5] for x in patterns.leaks([text]) if x[1] == 5]
+        assert got == ([want] if want <= size // decontaminate.PER_EDIT else [])
+
+
 def test_packages(spark, tmp_path):
     pages = [(1, "http://a/\n", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u", None), (4, "u", ""), (None, "u", "z"), (6, "u", "é" * 9)]
     frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")

@@ -10,6 +10,10 @@ Kinds, in order: ``assign``, ``access`` and ``hex`` as the base, found leftmost
 ``pem`` (private key blocks), ``jwt`` (signed web tokens), ``prefix`` (tokens that issuers mark by a prefix) and ``userinfo``
 (passwords in addresses). Spans are in code points, end exclusive.
 
+A ``pem`` span runs from its BEGIN line to the next END line, whatever lies between, unless another BEGIN line comes first.
+Without an END line it takes the header lines and base64 that follow: tokens of 16 signs or more, or with padding, between
+spaces or escaped line breaks.
+
 A null text is the empty text. Rows without ``doc_id`` and repeated rows are scanned and get a row each. Texts of any
 length are scanned whole.
 """
@@ -26,7 +30,7 @@ from pyspark.sql import types as T
 
 from chronoloom.llm.common import MAX_SENT_IDS, columns_of, packed, scratch, small_batches, written
 
-RULES = "2"
+RULES = "3"
 SPAN = "array<struct<start: int, kind: int, end: int>>"
 # The kinds in order, the base patterns and their least lengths.
 KINDS = ["assign", "access", "hex", "pem", "jwt", "prefix", "userinfo"]
@@ -38,12 +42,27 @@ LEAST_VALUE = 6
 PATTERNS = [
     (1, re.compile(r"AKIA[A-Z0-9]{16,}")),
     (2, re.compile(r"[0-9a-f]{24,}")),
-    (3, re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]+-----END [A-Z ]{0,30}PRIVATE KEY-----)?")),
     (4, re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     (5, re.compile(r"(?:gh[opsur]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})")),
-    (6, re.compile(r"(?<=://)[A-Za-z0-9._-]{1,64}:[^\s:/@]{6,256}(?=@)")),
+    (6, re.compile(r"(?<=://)[^\s:/@]*+:[^\s:/@]{6,}+(?=@)")),
 ]
 
+PEM = 3
+EDGE = re.compile(r"-----(BEGIN|END) [A-Z ]{0,30}PRIVATE KEY-----")
+BREAK = r"(?:\s|\\[nrt])++"
+BODY = re.compile(rf"(?:{BREAK}[A-Za-z-]++:\x20[^\n\\]*+)*+(?:{BREAK}(?:[A-Za-z0-9+/]{{16,}}+=*+|[A-Za-z0-9+/]++=++))*+")
+
+
+def _keys(text: str) -> list[tuple[int, int, int]]:
+    """Private key blocks; work grows with the length of the text however many edges it holds."""
+    edges = list(EDGE.finditer(text))
+    found = []
+    for edge, after in zip(edges, [*edges[1:], None]):
+        if edge.group(1) == "BEGIN":
+            closed = after is not None and after.group(1) == "END"
+            found.append((edge.start(), PEM, after.end() if closed else BODY.match(text, edge.end()).end()))
+    return found
+
 
 def spans_of(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of all findings, in order.
@@ -54,7 +73,7 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(1)) >= LEAST_VALUE]
     for kind, pattern in PATTERNS:
         found += [(m.start(), kind, m.end()) for m in pattern.finditer(text)]
-    return sorted(found)
+    return sorted(found + _keys(text))
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

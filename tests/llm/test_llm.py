@@ -266,6 +266,20 @@ def test_bpe(docs, none):
     assert byte_bpe.bpe_table(none, path, P.PATTERN).collect() == []
 
 
+def test_bpe_of_long_words(spark):
+    import public_tokenizers as P
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    library = byte_bpe._library(P.PATTERN, path)
+    texts = ["a" * 10_000, "-" * 10_000, "\u4e2d" * 2_000, "ab" * byte_bpe.LONG, "x" * byte_bpe.LONG, "x" * (byte_bpe.LONG + 1)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = by_id(byte_bpe.bpe_table(frame, path, P.PATTERN))
+    for i, text in enumerate(texts):
+        ids = library.encode_ordinary(text)
+        assert got[i].n_tokens == len(ids)
+        assert got[i].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
 def test_token_files(spark, docs, none):
     import public_tokenizers as P
     from tokenizers import Tokenizer

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import AbstractContextManager
 from uuid import uuid4
 
@@ -59,6 +60,11 @@ def by_ids(rows: DataFrame, ids: DataFrame, keys: list[str], how: str, limit: in
     return kept.select(*columns_of(rows))
 
 
+def let(value: F.Column, use: Callable[[F.Column], F.Column]) -> F.Column:
+    """``use(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def columns_of(docs: DataFrame) -> list[F.Column]:
     """All columns, whatever signs their names hold."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]

@@ -13,10 +13,14 @@ from chronoloom.llm import (
     byte_bpe,
     decontaminate,
     hidden_markov,
+    merkle,
+    mixing,
+    oracles,
     quality,
     secret_scan,
     sharding,
     simhash,
+    spelling,
     token_files,
     url_filter,
     warc_zip,
@@ -88,6 +92,18 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets_table(_table(spark, sf_dir, "documents"), scratch(spark, "ledger"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_table(_table(spark, sf_dir, "documents"))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_table(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality_rules,
@@ -100,6 +116,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_simhash,
         op9_extendible_shards,
         op10_secret_ledger,
+        op11_merkle_manifest,
+        op12_source_mix,
+        op13_spelling_variants,
     ]
     return {query.__name__: query for query in found}
 
@@ -170,4 +189,10 @@ def shard_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality_sql(), "op9_extendible_shards": shard_sql()}
+    return {
+        "op1_quality_rules": quality_sql(),
+        "op9_extendible_shards": shard_sql(),
+        "op11_merkle_manifest": oracles.merkle_sql(),
+        "op12_source_mix": oracles.mix_sql(),
+        "op13_spelling_variants": oracles.spelling_sql(),
+    }

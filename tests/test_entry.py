@@ -47,7 +47,7 @@ def test_query(spark, duck, name):
     wrong = [pair for pair in zip(ours, theirs) if repr(pair[0]) != repr(pair[1])]
     assert not wrong[:3]
     kinds = dict(zip(want.columns, map(str, want.types)))
-    known = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+    known = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
     assert {f.name: known.get(f.dataType.simpleString(), "BOOLEAN") for f in got.schema.fields} == kinds
 
 

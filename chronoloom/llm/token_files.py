@@ -27,10 +27,10 @@ from uuid import uuid4
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chronoloom.llm.common import scratch, small_batches, written
 from chronoloom.llm.files import open_in, open_out
@@ -41,8 +41,11 @@ BLOCK_IDS = 1024
 #: Ids packed or decoded at a time, a number of whole blocks, and ids in a file.
 RUN_IDS = 1 << 18
 FILE_IDS = 1 << 24
-#: Stretches of text kept with their ids by a worker.
-MAX_KEPT = 250_000
+#: Stretches of text kept with their ids by a worker, the longest of them, and bytes of text encoded at a time.
+MAX_KEPT = 400_000
+KEPT_CHARS = 64
+RUN_BYTES = 4_000_000
+IDS = pa.large_list(pa.int32())
 
 
 # Encoding
@@ -61,45 +64,63 @@ def _tokenizer(path: str):
 class Encoder:
     """Ids of texts by a tokenizer that drops white space, so that stretches between spaces can be encoded by themselves.
 
-    Ids of up to ``2 * MAX_KEPT`` stretches are kept, those last seen; all others go to the library again.
+    Texts are split, their stretches numbered and ids gathered by Arrow; only distinct stretches that are not kept from
+    earlier texts go to the library. Kept are stretches of up to ``KEPT_CHARS`` characters; past ``MAX_KEPT`` of them all are let go.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.kept: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        cut = [text.split(" ") for text in texts]
-        kept, older = self.kept, self.older
-        new = set().union(*cut).difference(kept)
-        for part in new.intersection(older):
-            kept[part] = older[part]
-        listed = list(new.difference(older))
-        for at in range(0, len(listed), 10_000):
-            some = listed[at : at + 10_000]
-            for part, one in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                kept[part] = tuple(one.ids)
-        out = [list(chain.from_iterable(map(kept.__getitem__, parts))) for parts in cut]
-        if len(kept) > MAX_KEPT:
-            self.kept, self.older = {}, kept
-        return out
+        self._forget()
+
+    def _forget(self) -> None:
+        self.parts, self.ids = pa.array([], pa.large_string()), pa.array([], IDS)
+
+    def _new(self, parts: pa.Array) -> pa.Array:
+        """Ids of stretches by the library."""
+        sizes, flat = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
+        for at in range(0, len(parts), 10_000):
+            ids = [one.ids for one in self.tokenizer.encode_batch_fast(parts.slice(at, 10_000).to_pylist(), add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1].sum())))
+        return pa.LargeListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes))), pa.array(np.concatenate(flat)))
+
+    def encode(self, texts: pa.Array, end: int) -> pa.LargeListArray:
+        """Ids of each text and the end id."""
+        cut = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        place = pc.index_in(coded.dictionary, self.parts)
+        unknown = coded.dictionary.filter(pc.is_null(place))
+        new = self._new(unknown)
+        ids = pa.concat_arrays([self.ids, new])
+        # Stretches that were not kept are numbered after those that were.
+        number = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        number[pc.is_null(place).to_numpy(zero_copy_only=False)] = len(self.ids) + np.arange(len(new))
+        found = ids.take(pa.array(number[coded.indices.to_numpy()]))
+        ends = found.offsets.to_numpy()[cut.offsets.to_numpy()]
+        ends = ends - ends[0] + np.arange(len(ends))
+        out = np.full(int(ends[-1]), end, np.int32)
+        inside = np.ones(len(out), bool)
+        inside[ends[1:] - 1] = False
+        out[inside] = found.flatten().to_numpy()
+        short = pc.less_equal(pc.utf8_length(unknown), KEPT_CHARS)
+        self.parts = pa.concat_arrays([self.parts, unknown.filter(short)])
+        self.ids = pa.concat_arrays([self.ids, new.filter(short)])
+        if len(self.parts) > MAX_KEPT:
+            self._forget()
+        return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(out))
 
 
 def _encode(path: str, end: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = pc.fill_null(batch.column(1), "")
+            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
             at = 0
             while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and (stop == at or size + len(texts[stop]) < 1_000_000):
-                    size += len(texts[stop])
-                    stop += 1
-                ids = [np.array([*one, end], np.int32) for one in encoder.encode(texts[at:stop])]
-                column = pa.array(ids, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, stop - at), column], ["doc_id", "ids"])
+                stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), RUN_BYTES, "right")) + at)
+                ids = encoder.encode(texts.slice(at, stop - at), end).cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, stop - at), ids], ["doc_id", "ids"])
                 at = stop
 
     return run
@@ -317,47 +338,59 @@ def _plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"path": path, "base": base, "first": cuts[:-1], "last": cuts[1:]})
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, runs in batch.groupby("path"):
-            file = File(path)
-            sizes, offsets, doc_ids = file.numbers("sizes"), file.numbers("offsets"), file.numbers("doc_ids")
-            nulls = np.unpackbits(np.frombuffer(file.section("nulls"), np.uint8))[: len(sizes)].astype(bool)
-            lengths, starts = file.section("lengths"), np.cumsum(sizes) - sizes
-            total, bits = int(sizes.sum()), 8 * file.header["sections"]["stream"]
-            for base, first, last in zip(runs["base"], runs["first"], runs["last"]):
-                begin, end = int(starts[first]), int(starts[last - 1] + sizes[last - 1])
-                low, high = begin // BLOCK_IDS, -(-end // BLOCK_IDS)
-                low_byte = int(offsets[low]) // 8
-                high_byte = -(-(int(offsets[high]) if high < len(offsets) else bits) // 8)
-                stream = file.section("stream", low_byte, high_byte - low_byte)
-                count = min(high * BLOCK_IDS, total) - low * BLOCK_IDS
-                ids = unpack(stream, offsets[low:high] - 8 * low_byte, count, lengths)
-                here = starts[first:last]
-                at = here - low * BLOCK_IDS
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.array(np.where(nulls[first:last], 0, doc_ids[first:last]), "Int64"),
-                        "null_id": nulls[first:last],
-                        "start": here + base,
-                        "ids": [ids[a : a + n] for a, n in zip(at, sizes[first:last])],
-                    }
-                )
-
-
-def read_files(manifest: DataFrame) -> DataFrame:
-    """``doc_id``, ``start`` (ids of all documents before) and ``ids`` of every document in the files."""
+def _reader(then: Callable[[pa.RecordBatch], pa.RecordBatch] | None) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, runs in batch.to_pandas().groupby("path"):
+                for read in _documents(path, runs):
+                    yield read if then is None else then(read)
+
+    return run
+
+
+def _documents(path: str, runs: pd.DataFrame) -> Iterator[pa.RecordBatch]:
+    """The documents of some runs of a file."""
+    file = File(path)
+    sizes, offsets, doc_ids = file.numbers("sizes"), file.numbers("offsets"), file.numbers("doc_ids")
+    nulls = np.unpackbits(np.frombuffer(file.section("nulls"), np.uint8))[: len(sizes)].astype(bool)
+    lengths, starts = file.section("lengths"), np.cumsum(sizes) - sizes
+    total, bits = int(sizes.sum()), 8 * file.header["sections"]["stream"]
+    for base, first, last in zip(runs["base"], runs["first"], runs["last"]):
+        begin, end = int(starts[first]), int(starts[last - 1] + sizes[last - 1])
+        low, high = begin // BLOCK_IDS, -(-end // BLOCK_IDS)
+        low_byte = int(offsets[low]) // 8
+        high_byte = -(-(int(offsets[high]) if high < len(offsets) else bits) // 8)
+        stream = file.section("stream", low_byte, high_byte - low_byte)
+        count = min(high * BLOCK_IDS, total) - low * BLOCK_IDS
+        ids = unpack(stream, offsets[low:high] - 8 * low_byte, count, lengths)
+        at = low * BLOCK_IDS
+        cuts = np.r_[starts[first:last], end] - begin
+        lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids[begin - at : end - at]))
+        columns = [pa.array(doc_ids[first:last], mask=nulls[first:last]), pa.array(starts[first:last] + base), lists]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "ids"])
+
+
+def read_files(
+    manifest: DataFrame, then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, kinds: str = "ids array<int>"
+) -> DataFrame:
+    """``doc_id``, ``start`` (ids of all documents before) and ``ids`` of every document in the files.
+
+    ``then`` may make something else of them in the same task; ``kinds`` names its columns in place of ``ids``.
+    """
     order = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     files = manifest.select("path", (F.sum("ids").over(order) - F.col("ids")).alias("base"))
     parts = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     runs = files.repartition(parts, "path").mapInPandas(_plan, RUNS).repartition(parts, "path", "first")
-    rows = runs.mapInPandas(_read, "doc_id bigint, null_id boolean, start bigint, ids array<int>")
-    return rows.select(F.when(~F.col("null_id"), F.col("doc_id")).alias("doc_id"), "start", "ids")
+    return runs.mapInArrow(_reader(then), f"doc_id bigint, start bigint, {kinds}")
 
 
-@F.pandas_udf(T.LongType())
-def _crc(ids: pd.Series) -> pd.Series:
-    return pd.Series([zlib.crc32(np.asarray(i, "<u4").tobytes()) for i in ids], dtype="int64")
+def _digests(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Number and checksum of the ids of each document."""
+    lists = batch.column(2)
+    flat, ends = lists.flatten().to_numpy().astype("<u4"), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    columns = [batch.column(0), batch.column(1), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def token_table(docs: DataFrame, tokenizer_path: str, end: int = 1) -> DataFrame:
@@ -367,5 +400,4 @@ def token_table(docs: DataFrame, tokenizer_path: str, end: int = 1) -> DataFrame
     with small_batches(spark):
         encoded(docs, tokenizer_path, end).write.option("compression", "zstd").parquet(path)
     rows = spark.read.schema("doc_id bigint, ids array<int>").parquet(path)
-    back = read_files(write_files(rows, scratch(spark, "token-files")))
-    return back.select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), _crc("ids").alias("ids_crc32"))
+    return read_files(write_files(rows, scratch(spark, "token-files")), _digests, "n_tokens bigint, ids_crc32 bigint")

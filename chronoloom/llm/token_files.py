@@ -41,11 +41,15 @@ BLOCK_IDS = 1024
 #: Ids packed or decoded at a time, a number of whole blocks, and ids in a file.
 RUN_IDS = 1 << 18
 FILE_IDS = 1 << 24
-#: Stretches of text kept with their ids by a worker, the longest of them, and bytes of text encoded at a time.
-MAX_KEPT = 400_000
+#: Words kept with their ids by a worker, the longest of them, words put together for the library, and bytes of text encoded at a time.
+MAX_KEPT = 600_000
 KEPT_CHARS = 64
+TOGETHER = 128
 RUN_BYTES = 4_000_000
 IDS = pa.large_list(pa.int32())
+#: Letters that are one word to the tokenizer, and with signs after them that are another; an apostrophe may be a part of a word.
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+"
+LETTERS_SIGNS = LETTERS + "[!-&(-/:-@\\[-`{-~]*$"
 
 
 # Encoding
@@ -64,55 +68,86 @@ def _tokenizer(path: str):
 class Encoder:
     """Ids of texts by a tokenizer that drops white space, so that stretches between spaces can be encoded by themselves.
 
-    Texts are split, their stretches numbered and ids gathered by Arrow; only distinct stretches that are not kept from
-    earlier texts go to the library. Kept are stretches of up to ``KEPT_CHARS`` characters; past ``MAX_KEPT`` of them all are let go.
+    Texts are split, their stretches numbered and ids gathered by Arrow. Where the tokenizer sees letters and signs apart and
+    marks the ends of words, a stretch of letters, perhaps with signs after them, is a word and its signs; words go to the library
+    many in a text, are told apart by their marks, and are kept, up to ``MAX_KEPT`` of them, for later texts. All other stretches
+    go to the library as they are.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.parts, self.ids = pa.array([], pa.large_string()), pa.array([], IDS)
-
-    def _new(self, parts: pa.Array) -> pa.Array:
-        """Ids of stretches by the library."""
+        # Ids that end a word; none if the model does not mark words' ends.
+        mark = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if mark and piece.endswith(mark)]] = True
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], IDS)
+
+    def _library(self, texts: list[str]) -> pa.LargeListArray:
+        """Ids of each text by itself."""
         sizes, flat = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
-        for at in range(0, len(parts), 10_000):
-            ids = [one.ids for one in self.tokenizer.encode_batch_fast(parts.slice(at, 10_000).to_pylist(), add_special_tokens=False)]
+        for at in range(0, len(texts), 10_000):
+            ids = [one.ids for one in self.tokenizer.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
             flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1].sum())))
         return pa.LargeListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes))), pa.array(np.concatenate(flat)))
 
+    def _of_words(self, words: pa.Array) -> pa.LargeListArray:
+        """Ids of distinct words of nothing but letters."""
+        place = pc.index_in(words, self.words)
+        unknown = pc.is_null(place)
+        new = words.filter(unknown)
+        listed = new.to_pylist()
+        flat = self._library([" ".join(listed[i : i + TOGETHER]) for i in range(0, len(listed), TOGETHER)]).flatten()
+        ends = np.flatnonzero(self.last[flat.to_numpy()]) + 1
+        if len(ends) != len(new):
+            raise ValueError("the tokenizer does not mark the ends of words as expected")
+        ids = pa.LargeListArray.from_arrays(pa.array(np.r_[0, ends]), flat)
+        every, ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, ids])
+        number = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        number[unknown.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
+        found = ids.take(pa.array(number))
+        keep = pc.less_equal(pc.utf8_length(every), KEPT_CHARS)
+        self.words, self.ids = (every.filter(keep), ids.filter(keep)) if len(every) <= MAX_KEPT else (every[:0], ids[:0])
+        return found
+
     def encode(self, texts: pa.Array, end: int) -> pa.LargeListArray:
         """Ids of each text and the end id."""
-        cut = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        cut = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
         coded = cut.flatten().dictionary_encode()
-        place = pc.index_in(coded.dictionary, self.parts)
-        unknown = coded.dictionary.filter(pc.is_null(place))
-        new = self._new(unknown)
-        ids = pa.concat_arrays([self.ids, new])
-        # Stretches that were not kept are numbered after those that were.
-        number = pc.fill_null(place, 0).to_numpy().astype(np.int64)
-        number[pc.is_null(place).to_numpy(zero_copy_only=False)] = len(self.ids) + np.arange(len(new))
-        found = ids.take(pa.array(number[coded.indices.to_numpy()]))
-        ends = found.offsets.to_numpy()[cut.offsets.to_numpy()]
+        plain = pc.and_(pc.match_substring_regex(coded.dictionary, LETTERS_SIGNS), bool(self.last.any()))
+        parts = pc.extract_regex(coded.dictionary.filter(plain), f"(?P<word>{LETTERS})(?P<signs>.*)")
+        # The tokenizer lower-cases; doing so here for A to Z makes fewer words.
+        words = pc.ascii_lower(parts.field("word")).dictionary_encode()
+        signs = parts.field("signs").dictionary_encode()
+        known = self._of_words(words.dictionary)
+        after, others = self._library(signs.dictionary.to_pylist()), self._library(coded.dictionary.filter(pc.invert(plain)).to_pylist())
+        units = pa.concat_arrays([known, after, others, pa.array([[]], IDS)])
+        # Each stretch is two units: its word and its signs, or what the library made of it and nothing.
+        here = plain.to_numpy(zero_copy_only=False)
+        both = np.full((len(here), 2), len(units) - 1, np.int64)
+        both[here, 0] = words.indices.to_numpy()
+        both[here, 1] = len(known) + signs.indices.to_numpy()
+        both[~here, 0] = len(known) + len(after) + np.arange(len(others))
+        found = units.take(pa.array(both[coded.indices.to_numpy()].ravel()))
+        ends = found.offsets.to_numpy()[2 * (cut.offsets.to_numpy() - cut.offsets[0].as_py())]
         ends = ends - ends[0] + np.arange(len(ends))
         out = np.full(int(ends[-1]), end, np.int32)
         inside = np.ones(len(out), bool)
         inside[ends[1:] - 1] = False
         out[inside] = found.flatten().to_numpy()
-        short = pc.less_equal(pc.utf8_length(unknown), KEPT_CHARS)
-        self.parts = pa.concat_arrays([self.parts, unknown.filter(short)])
-        self.ids = pa.concat_arrays([self.ids, new.filter(short)])
-        if len(self.parts) > MAX_KEPT:
-            self._forget()
         return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(out))
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One for each Python worker, whatever tasks it is given."""
+    return Encoder(path)
+
+
 def _encode(path: str, end: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -3,8 +3,8 @@
 Texts are cut by the tokenizer's pattern into *words*. Merging is done on distinct words: a higher-order fold takes the
 array of a word's byte ids and, step by step, joins the leftmost pair of least rank, with the rank map as one literal of
 the plan. The map is laid out in two arrays where a pair has one place in each, as Spark's own map type is searched from
-end to end. Decoding looks every
-id up in a literal array of pieces and joins them as bytes.
+end to end. Ids of documents are gathered from those of their words, and decoded by putting binary pieces end to end, by Arrow
+in the same stage.
 
 Words that are frequent in the corpus, at most ``MAX_COMMON`` of them, are merged once and sent to the tasks; they are
 chosen by a count over all documents. Documents are gone through in blocks of about ``BLOCK_CHARS`` characters (a longer
@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 from chronoloom.llm.common import columns_of, written
 
 MAX_COMMON = 1 << 18
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 LONG = 1024
+Then = Callable[[pa.LargeListArray, pa.Array], dict[str, pa.Array]]
 #: Places in each half of the rank map, multipliers that spread pairs over them, and bits of a rank.
 SLOTS = (1 << 17) - 1
 FACTORS = (40503, 48271)
@@ -221,9 +223,9 @@ def common_words(texts: DataFrame, pattern: str) -> DataFrame:
     return counts.filter(F.length(F.bin("n")) >= least).select("word")
 
 
-def _encoder(pattern: str, ranks_path: str, common: object) -> Callable:
+def _encoder(pattern: str, common: object) -> Callable:
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, table_ids = common.value
+        table, table_ids, pieces = common.value
         for keys, texts in _blocks(batches):
             numbers, sizes, words, order = _cut(texts, pattern)
             place = pc.index_in(words, table)
@@ -232,35 +234,72 @@ def _encoder(pattern: str, ranks_path: str, common: object) -> Callable:
             kind = np.where(known, 0, np.where(long, 1, 2))
             number = np.zeros(len(kind), np.int32)
             number[np.argsort(kind, kind="stable")] = np.arange(len(kind))
-            piece = _library(pattern, ranks_path)._encode_single_piece if 1 in kind else None
+            piece = _library(pattern, pieces)._encode_single_piece if 1 in kind else None
             long_ids = [piece(word.encode()) for word in words.filter(pa.array(kind == 1)).to_pylist()]
+            ids = pa.concat_arrays([table_ids.take(place.drop_null()), pa.array(long_ids, table_ids.type)])
+            packed = [numbers.offsets, numbers.flatten(), sizes, number[order], ids.value_lengths(), ids.flatten()]
+            packed = [np.asarray(a).astype("<i4").tobytes() for a in packed]
             columns = {
-                "docs": pa.StructArray.from_arrays([keys, numbers], ["key", "parts"]),
-                "stretches": _lists(sizes, number[order]),
-                "known": pa.concat_arrays([table_ids.take(place.drop_null()), pa.array(long_ids, table_ids.type)]),
-                "rare": words.filter(pa.array(kind == 2)),
+                "docs": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.concat_arrays([keys])),
+                "rare": pa.array([words.filter(pa.array(kind == 2)).to_pylist()], pa.list_(pa.string())),
+                "packed": pa.array([packed], pa.list_(pa.binary())),
             }
-            whole = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns.values()]
-            yield pa.RecordBatch.from_arrays(whole, list(columns))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return cut_up
 
 
-def _lists(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
-    """Lists of these sizes, with their values end to end."""
-    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
+def _ends(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)])
 
 
-@lru_cache(maxsize=1)
-def _library(pattern: str, path: str):
-    import tiktoken
+def _gatherer(common: object, then: Then | None) -> Callable:
+    """Ids of the documents of a block, put together from those of its words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = common.value[2]
+        for batch in batches:
+            for i in range(batch.num_rows):
+                docs, rare = batch.column(0).slice(i, 1).flatten(), batch.column(1).slice(i, 1).flatten()
+                packed = batch.column(2).slice(i, 1).flatten()
+                cuts, parts, sizes, order, lengths, known = (np.frombuffer(b.as_buffer(), "<i4") for b in packed)
+                first = pa.LargeListArray.from_arrays(pa.array(_ends(lengths)), pa.array(known))
+                ids = pa.concat_arrays([first, rare.cast(first.type)])
+                stretches = pa.LargeListArray.from_arrays(pa.array(_ends(sizes)), pa.array(order)).take(pa.array(parts))
+                words = ids.take(stretches.flatten())
+                ends = words.offsets.to_numpy()[stretches.offsets.to_numpy()[cuts]]
+                lists = pa.LargeListArray.from_arrays(pa.array(ends - ends[0]), words.flatten())
+                made = {"ids": lists.cast(pa.list_(pa.int32()))} if then is None else then(lists, pieces)
+                yield pa.RecordBatch.from_arrays([docs, *made.values()], ["doc", *made])
+
+    return run
+
+
+_libraries: dict[str, object] = {}
+
 
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+def _library(pattern: str, pieces: pa.Array):
+    if pattern not in _libraries:
+        import tiktoken
 
+        ranks = {piece: i for i, piece in enumerate(pieces.to_pylist()) if piece is not None}
+        _libraries[pattern] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return _libraries[pattern]
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """All columns of the documents as ``doc``, without their text, and ``ids array<int>``."""
+
+def pieces_of(ranks: dict[bytes, int]) -> pa.Array:
+    """Pieces by id; ids without one are null."""
+    pieces: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pa.array(pieces, pa.large_binary())
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, then: Then | None = None, kinds: str = "ids array<int>") -> DataFrame:
+    """All columns of the documents as ``doc``, without their text, and ``ids array<int>``.
+
+    ``then`` may make other columns of the ids and the pieces in the same task; ``kinds`` names them.
+    """
     spark = docs.sparkSession
     ranks = read_ranks(ranks_path)
     text = F.col("text").cast("string").alias("text")
@@ -271,42 +310,42 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     for row in grouped.select("words", merged(F.col("words"), ranks).alias("ids")).toLocalIterator():
         table.append(pa.array(row["words"], pa.string()))
         ids.append(pa.array(row["ids"], pa.list_(pa.int32())))
-    common = spark.sparkContext.broadcast((pa.concat_arrays(table), pa.concat_arrays(ids)))
+    common = spark.sparkContext.broadcast((pa.concat_arrays(table), pa.concat_arrays(ids), pieces_of(ranks)))
     others = [c for name, c in zip(docs.columns, columns_of(docs)) if name != "text"]
     rows = docs.select(F.struct(*others).alias("key"), text) if others else docs.select(F.lit(0).alias("key"), text)
     key = rows.schema["key"].dataType.simpleString()
-    kinds = f"""docs array<struct<key: {key}, parts: array<int>>>, stretches array<array<int>>, known array<array<int>>,
-        rare array<string>"""
-    blocks = rows.mapInArrow(_encoder(pattern, ranks_path, common), kinds)
-
-    def gathered(lists: Column, numbers: Column) -> Column:
-        return F.flatten(F.transform(numbers, lambda i: F.get(lists, i)))
-
-    words = F.concat("known", merged(F.col("rare"), ranks))
-    stretches = _let(words, lambda ids: F.transform("stretches", lambda s: gathered(ids, s)))
-    placed = _let(
-        stretches,
-        lambda ids: F.transform("docs", lambda d: F.struct(d["key"].alias("doc"), gathered(ids, d["parts"]).alias("ids"))),
-    )
-    # A block has at least one document. The plain form of inline would test the size first, and so merge twice.
-    return blocks.select(placed.alias("docs")).select(F.inline_outer("docs"))
+    blocks = rows.mapInArrow(_encoder(pattern, common), f"docs array<{key}>, rare array<string>, packed array<binary>")
+    folded = blocks.select("docs", merged(F.col("rare"), ranks).alias("rare"), "packed")
+    return folded.mapInArrow(_gatherer(common, then), f"doc {key}, {kinds}")
 
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes that an array of ids stands for."""
-    pieces = [""] * (max(ranks.values()) + 1)
-    for piece, rank in ranks.items():
-        pieces[rank] = piece.hex()
-    literal = F.split(F.lit(",".join(pieces)), ",")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(literal, i)), ""))
+def joined(lists: pa.LargeListArray, pieces: pa.Array) -> pa.Array:
+    """The bytes that lists of ids stand for: their pieces, end to end."""
+    found = pa.LargeListArray.from_arrays(lists.offsets, pieces.take(lists.flatten()))
+    return pc.binary_join(found, pa.scalar(b"", pa.large_binary()))
+
+
+def texts(lists: pa.LargeListArray, pieces: pa.Array) -> dict[str, pa.Array]:
+    """For ``then``: the ids, their number, and the text that they stand for."""
+    text = joined(lists, pieces).cast(pa.large_string()).cast(pa.string())
+    return {"ids": lists.cast(pa.list_(pa.int32())), "n_tokens": lists.value_lengths(), "text": text}
+
+
+TEXTS = "ids array<int>, n_tokens bigint, text string"
+
+
+def digests(lists: pa.LargeListArray, pieces: pa.Array) -> dict[str, pa.Array]:
+    """For ``then``: number of ids, and digests of the ids and of the decoded bytes."""
+    numbers = pa.LargeListArray.from_arrays(lists.offsets, lists.flatten().cast(pa.large_string()))
+    listed, decoded = pc.binary_join(numbers, pa.scalar(" ", pa.large_string())), joined(lists, pieces)
+    hashed = lambda values: pa.array([sha256(v.as_buffer()).hexdigest() for v in values], pa.string())
+    return {"n_tokens": lists.value_lengths(), "ids_sha256": hashed(listed), "decoded_sha256": hashed(decoded)}
+
+
+DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 def bpe_table(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """One row per document: number of ids, and digests of the ids and of the decoded bytes."""
-    rows = encode(docs.select("doc_id", "text"), ranks_path, pattern)
-    return rows.select(
-        "doc.doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), read_ranks(ranks_path)), 256).alias("decoded_sha256"),
-    )
+    rows = encode(docs.select("doc_id", "text"), ranks_path, pattern, digests, DIGESTS)
+    return rows.select("doc.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

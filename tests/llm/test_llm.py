@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pytest
+import tiktoken
 import xxhash
 
 import corpus_pipeline
@@ -256,7 +257,7 @@ def test_bpe(docs, none):
     import public_tokenizers as P
 
     path = P.path("byte_bpe_50k.tiktoken")
-    library = byte_bpe._library(P.PATTERN, path)
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
     got = by_id(byte_bpe.bpe_table(docs, path, P.PATTERN))
     for r in docs.collect():
         ids = library.encode_ordinary(r.text or "")
@@ -270,7 +271,7 @@ def test_bpe_of_long_words(spark):
     import public_tokenizers as P
 
     path = P.path("byte_bpe_50k.tiktoken")
-    library = byte_bpe._library(P.PATTERN, path)
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
     texts = ["a" * 10_000, "-" * 10_000, "\u4e2d" * 2_000, "ab" * byte_bpe.LONG, "x" * byte_bpe.LONG, "x" * (byte_bpe.LONG + 1)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = by_id(byte_bpe.bpe_table(frame, path, P.PATTERN))

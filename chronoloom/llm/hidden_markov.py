@@ -20,17 +20,17 @@ occur. Where training is empty every token is unknown.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import written
+from chronoloom.llm.common import SPACES, written
 
 STATES = 8
 COMMON = 2000
@@ -44,47 +44,69 @@ ALPHA = 0.1
 #: Added to every expected count, so that nothing becomes impossible.
 PRIOR = 0.01
 SEED = 7
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Stands for the end; no word holds a line break.
 END = "\n"
 CLASSES = COMMON + HASHED + 1
 
-BLOCK = "block bigint, doc_ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary, words array<string>, n array<int>"
-
-
-def _block(ids: list, held: list, docs: list[list[int]], words: dict[str, int]) -> pd.DataFrame:
-    sizes = np.array([len(d) for d in docs], np.int32)
-    tokens = np.fromiter((w for d in docs for w in d), np.int32, int(sizes.sum()))
-    trained = np.repeat(~np.array(held, bool), sizes)
-    n = np.bincount(tokens[trained], minlength=len(words)).astype(np.int32)
-    return pd.DataFrame(
-        {
-            "block": [uuid4().int >> 65],
-            "doc_ids": [pd.array(ids, "Int64")],
-            "held": [held],
-            "sizes": [sizes],
-            "tokens": [zlib.compress(tokens.astype("<i4").reshape(-1, 1).view(np.uint8).T.tobytes(), 1)],
-            "words": [list(words)],
-            "n": [n],
-        }
-    )
-
-
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    ids, held, docs, words, size = [], [], [], {END: 0}, 0
+BLOCK = """block bigint, doc_ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary, words array<string>,
+    n array<int>, tails array<int>"""
+
+
+def _block(ids: pa.Array, held: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
+    """One row: the documents of a block as numbers of words. Word 0 is the end."""
+    texts = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+    for space in SPACES[1:]:
+        texts = pc.replace_substring(texts, space, " ")
+    cut = pc.split_pattern(texts, " ")
+    coded = cut.flatten().dictionary_encode()
+    some = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)
+    number = np.where(some, np.cumsum(some), 0).astype(np.int32)[coded.indices.to_numpy()]
+    owner = np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
+    sizes = np.bincount(owner[number > 0], minlength=len(texts)) + 1
+    tokens = np.zeros(int(sizes.sum()), np.int32)
+    inside = np.ones(len(tokens), bool)
+    inside[np.cumsum(sizes) - 1] = False
+    tokens[inside] = number[number > 0]
+    words = pa.concat_arrays([pa.array([END]), coded.dictionary.filter(pa.array(some)).cast(pa.string())])
+    n = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(words))
+    packed = zlib.compress(tokens.astype("<i4").reshape(-1, 1).view(np.uint8).T.tobytes(), 1)
+    one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values).cast(kind))
+    columns = {
+        "block": pa.array([uuid4().int >> 65], pa.int64()),
+        "doc_ids": one(ids, pa.int64()),
+        "held": one(held, pa.bool_()),
+        "sizes": one(sizes, pa.int32()),
+        "tokens": pa.array([packed], pa.binary()),
+        "words": one(words, pa.string()),
+        "n": one(n, pa.int32()),
+        "tails": one(tails_of(words), pa.int32()),
+    }
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts, size = [], 0
+
+    def whole() -> pa.RecordBatch:
+        ids, held, texts = (pa.concat_arrays(column) for column in zip(*parts))
+        return _block(ids, held.to_numpy(zero_copy_only=False), texts)
+
     for batch in batches:
-        for doc_id, out, text in zip(batch["doc_id"], batch["held"], batch["text"]):
-            text = text or ""
-            if docs and size + len(text) > BLOCK_CHARS:
-                yield _block(ids, held, docs, words)
-                ids, held, docs, words, size = [], [], [], {END: 0}, 0
-            ids.append(None if pd.isna(doc_id) else int(doc_id))
-            held.append(bool(out))
-            docs.append([words.setdefault(w, len(words)) for w in WORD.findall(text.translate(LOWER))] + [0])
-            size += len(text)
-    if docs:
-        yield _block(ids, held, docs, words)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy().astype(np.int64))
+        at = 0
+        while at < len(ends):
+            # As many documents as fit, one at least if the block is empty.
+            room = BLOCK_CHARS - size + (int(ends[at - 1]) if at else 0)
+            stop = max(int(np.searchsorted(ends, room, "right")), at if parts else at + 1)
+            if stop > at:
+                parts.append([batch.column(i).slice(at, stop - at) for i in range(3)])
+                size += int(ends[stop - 1]) - (int(ends[at - 1]) if at else 0)
+                at = stop
+            if at < len(ends):
+                yield whole()
+                parts, size = [], 0
+    if parts:
+        yield whole()
 
 
 def _tokens(packed: bytes) -> np.ndarray:
@@ -92,10 +114,16 @@ def _tokens(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.T).view("<i4").ravel()
 
 
-def classes_of(words: list[str], common: dict[str, int]) -> np.ndarray:
+def tails_of(words: pa.Array) -> np.ndarray:
+    """Class that each word has if it is not a common one."""
+    own = (CLASSES - 1 if w == END else COMMON + zlib.crc32(w[-3:].encode()) % HASHED for w in words.to_pylist())
+    return np.fromiter(own, np.int32, len(words))
+
+
+def classes_of(words: pa.Array, common: pa.Array, tails: np.ndarray) -> np.ndarray:
     """Class of each word."""
-    own = lambda w: CLASSES - 1 if w == END else COMMON + zlib.crc32(w[-3:].encode()) % HASHED
-    return np.array([c if (c := common.get(w)) is not None else own(w) for w in words], np.int32)
+    place = pc.index_in(words, common)
+    return np.where(place.is_valid().to_numpy(zero_copy_only=False), pc.fill_null(place, 0).to_numpy(), tails)
 
 
 class Model:
@@ -191,27 +219,38 @@ def expected(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return np.concatenate([begun, step.ravel(), emit.ravel()])
 
 
-def _counter(model: Model, common: dict[str, int]) -> Callable:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Array]]:
+    """The lists of each row of a table of blocks."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(j).slice(i, 1) for j, name in enumerate(batch.schema.names)}
+            yield {name: c.flatten() if pa.types.is_list(c.type) else c for name, c in row.items()}
+
+
+def _numbers(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False)
+
+
+def _counter(model: Model, common: pa.Array) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(STATES + STATES * STATES + STATES * CLASSES)
-        for batch in batches:
-            for packed, held, sizes, words in zip(batch["tokens"], batch["held"], batch["sizes"], batch["words"]):
-                trained, sizes = ~np.asarray(held, bool), np.asarray(sizes, np.int64)
-                if trained.any():
-                    classes = classes_of(list(words), common)[_tokens(packed)]
-                    total += expected(model, classes[np.repeat(trained, sizes)], sizes[trained])
+        for row in _rows(batches):
+            kept, sizes = ~_numbers(row["held"]), _numbers(row["sizes"]).astype(np.int64)
+            if kept.any():
+                classes = classes_of(row["words"], common, _numbers(row["tails"]))[_tokens(row["tokens"][0].as_py())]
+                total += expected(model, classes[np.repeat(kept, sizes)], sizes[kept])
         found = np.flatnonzero(total)
-        yield pd.DataFrame({"place": found, "value": total[found]})
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["place", "value"])
 
     return run
 
 
-def trained(blocks: DataFrame, common: dict[str, int], class_counts: np.ndarray, rounds: int = ROUNDS) -> Model:
+def trained(blocks: DataFrame, common: pa.Array, class_counts: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Baum-Welch over the training documents of all blocks."""
     model = Model.first(class_counts)
-    texts = blocks.select("tokens", "held", "sizes", "words")
+    texts = blocks.select("tokens", "held", "sizes", "words", "tails")
     for _ in range(rounds):
-        counts = texts.mapInPandas(_counter(model, common), "place bigint, value double")
+        counts = texts.mapInArrow(_counter(model, common), "place bigint, value double")
         sums = np.zeros(STATES + STATES * STATES + STATES * CLASSES)
         found = counts.groupBy("place").agg(F.sum("value").alias("value")).toPandas()
         sums[found["place"].to_numpy()] = found["value"].to_numpy()
@@ -219,31 +258,28 @@ def trained(blocks: DataFrame, common: dict[str, int], class_counts: np.ndarray,
     return model
 
 
-def _scorer(model: Model, common: dict[str, int], total: int, distinct: int, sums: np.ndarray, kinds: np.ndarray) -> Callable:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                words, sizes = list(row.words), np.asarray(row.sizes, np.int64)
-                tokens, classes = _tokens(row.tokens), classes_of(words, common)
-                count = np.zeros(len(words))
-                count[np.asarray(row.places, np.int64)] = np.asarray(row.counts, np.float64)
-                base = np.log10((count + ALPHA) / (total + ALPHA * (distinct + 1)))
-                share = np.log10((count + ALPHA) / (sums[classes] + ALPHA * (kinds[classes] + 1)))
-                share[classes < COMMON] = 0
-                share[classes == CLASSES - 1] = 0
-                first = np.cumsum(sizes) - sizes
-                add = lambda by_word: np.add.reduceat(by_word[tokens], first)
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.array(row.doc_ids, "Int64"),
-                        "held_out": np.asarray(row.held, bool),
-                        "n_tokens": sizes,
-                        "n_known": add((count > 0).astype(np.int64)),
-                        "train_tokens": total,
-                        "base_score": add(base),
-                        "score": likelihood(model, classes[tokens], sizes) + add(share),
-                    }
-                )
+def _scorer(model: Model, common: pa.Array, total: int, distinct: int, sums: np.ndarray, kinds: np.ndarray) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            sizes, tokens = _numbers(row["sizes"]).astype(np.int64), _tokens(row["tokens"][0].as_py())
+            classes = classes_of(row["words"], common, _numbers(row["tails"]))
+            count = np.zeros(len(classes))
+            count[_numbers(row["places"])] = _numbers(row["counts"])
+            base = np.log10((count + ALPHA) / (total + ALPHA * (distinct + 1)))
+            share = np.log10((count + ALPHA) / (sums[classes] + ALPHA * (kinds[classes] + 1)))
+            share[(classes < COMMON) | (classes == CLASSES - 1)] = 0
+            first = np.cumsum(sizes) - sizes
+            add = lambda by_word: np.add.reduceat(by_word[tokens], first)
+            columns = {
+                "doc_id": row["doc_ids"],
+                "held_out": row["held"],
+                "n_tokens": pa.array(sizes),
+                "n_known": pa.array(add((count > 0).astype(np.int64))),
+                "train_tokens": pa.array(np.full(len(sizes), total, np.int64)),
+                "base_score": pa.array(add(base)),
+                "score": pa.array(likelihood(model, classes[tokens], sizes) + add(share)),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
@@ -251,18 +287,19 @@ def _scorer(model: Model, common: dict[str, int], total: int, distinct: int, sum
 SCORES = "doc_id bigint, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def class_sums(counts: DataFrame, common: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+def class_sums(counts: DataFrame, common: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Training count and number of distinct words of each class."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            classes = classes_of(list(batch["word"]), common)
-            sums, kinds = np.bincount(classes, batch["c"], CLASSES), np.bincount(classes, minlength=CLASSES)
+            classes = classes_of(batch.column(0), common, tails_of(batch.column(0)))
+            sums, kinds = np.bincount(classes, _numbers(batch.column(1)), CLASSES), np.bincount(classes, minlength=CLASSES)
             found = np.flatnonzero(kinds)
-            yield pd.DataFrame({"k": found, "c": sums[found].astype(np.int64), "v": kinds[found]})
+            columns = [pa.array(found, pa.int32()), pa.array(sums[found].astype(np.int64)), pa.array(kinds[found])]
+            yield pa.RecordBatch.from_arrays(columns, ["k", "c", "v"])
 
-    rows = counts.mapInPandas(run, "k int, c bigint, v bigint").groupBy("k").agg(F.sum("c").alias("c"), F.sum("v").alias("v"))
-    found = rows.toPandas()
+    rows = counts.select("word", "c").mapInArrow(run, "k int, c bigint, v bigint")
+    found = rows.groupBy("k").agg(F.sum("c").alias("c"), F.sum("v").alias("v")).toPandas()
     sums, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     sums[found["k"]], kinds[found["k"]] = found["c"], found["v"]
     return sums, kinds
@@ -272,18 +309,18 @@ def score_table(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: its tokens, those known from training, and both log10 scores."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(True))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held.alias("held"), F.col("text").cast("string").alias("text"))
-    blocks = written(rows.mapInPandas(_blocks, BLOCK), "blocks")
+    blocks = written(rows.mapInArrow(_blocks, BLOCK), "blocks")
     pairs = blocks.select("block", F.posexplode(F.arrays_zip("words", "n")).alias("place", "w"))
     counts = pairs.filter("w.n > 0").groupBy(F.col("w.words").alias("word")).agg(F.sum("w.n").alias("c"))
     counts = written(counts, "counts")
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     top = counts.filter(F.col("word") != END).orderBy(F.col("c").desc(), "word").limit(COMMON).collect()
-    common = {row["word"]: i for i, row in enumerate(top)}
+    common = pa.array([row["word"] for row in top], pa.string())
     sums, kinds = class_sums(counts, common)
     model = trained(blocks, common, sums, rounds)
     known = pairs.select("block", "place", F.col("w.words").alias("word")).join(counts, "word")
     known = known.groupBy("block").agg(F.collect_list("place").alias("places"), F.collect_list("c").alias("counts"))
-    joined = blocks.select("block", "doc_ids", "held", "sizes", "tokens", "words").join(known, "block", "left")
+    joined = blocks.select("block", "doc_ids", "held", "sizes", "tokens", "words", "tails").join(known, "block", "left")
     joined = joined.withColumn("places", F.coalesce("places", F.array().cast("array<int>")))
     joined = joined.withColumn("counts", F.coalesce("counts", F.array().cast("array<bigint>")))
-    return joined.mapInPandas(_scorer(model, common, int(total["n"] or 0), int(total["v"]), sums, kinds), SCORES)
+    return joined.drop("block").mapInArrow(_scorer(model, common, int(total["n"] or 0), int(total["v"]), sums, kinds), SCORES)

@@ -135,7 +135,9 @@ def _writer(folder: str) -> Callable:
 
 def write_packages(pages: DataFrame, folder: str) -> DataFrame:
     """Write a record for every row; returns ``path`` and ``records`` of each package."""
-    rows = with_roles(pages).mapInPandas(_writer(folder), "path string, records bigint")
+    # Ids go as text: pandas would make floats of a column of numbers that has a null.
+    ids = {name: F.col(name).cast("string") for name in ("page_id", "refers_to")}
+    rows = with_roles(pages).withColumns(ids).mapInPandas(_writer(folder), "path string, records bigint")
     return written(rows, "packages")
 
 
@@ -273,8 +275,10 @@ def _reader(with_payload: bool) -> Callable:
                     if not with_payload:
                         row["payload"] = None
                     rows.append(row)
-                frame = pd.DataFrame(rows)
-                yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                columns = {name: [row[name] for row in rows] for name in rows[0]} if rows else {}
+                for name in ("page_id", "refers_to"):
+                    columns[name] = pd.array(columns.get(name, []), dtype="Int64")
+                yield pd.DataFrame(columns)
 
     return run
 

@@ -15,7 +15,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import lower_ascii, packed, written
+from chronoloom.llm.common import let, lower_ascii, packed, written
 
 MAX_LABELLED = 20_000
 FEATURES = 1 << 16
@@ -44,12 +44,15 @@ def ruled(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column
 
 
 def _grams(text: Column, mark: str) -> list[Column]:
-    """Arrays of n-grams of a text with its ends marked; one for each size."""
+    """Arrays of n-grams of a text with its ends marked; one for each size. The text is cut into characters once."""
     ends = F.concat(F.lit("\x02"), text, F.lit("\x03"))
 
     def of(size: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(ends) - size + 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.concat(F.lit(f"{mark}{size}"), F.substr(ends, i, F.lit(size))))
+        def joined(signs: Column) -> Column:
+            starts = F.sequence(F.lit(1), F.greatest(F.size(signs) - size + 1, F.lit(1)))
+            return F.transform(starts, lambda i: F.concat(F.lit(f"{mark}{size}"), *[F.coalesce(F.get(signs, i + k), F.lit("")) for k in range(-1, size - 1)]))
+
+        return let(F.split(ends, ""), joined)
 
     return [of(size) for size in SIZES]
 

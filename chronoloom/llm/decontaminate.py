@@ -45,6 +45,8 @@ STARTS = 2_000
 FINE = 3
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
+#: Stands for the items without an id, which are looked for as one.
+NO_ID = -(1 << 63)
 LEAK = "doc_id bigint, item_id bigint, doc_start bigint, doc_end bigint, patterns int, edits int"
 
 
@@ -90,7 +92,7 @@ class Patterns:
     """A block of benchmark items, ready to be looked up. Items are laid end to end, ``LENGTH`` apart."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        texts = [(item_id, normal(text.strip())[0]) for item_id, text in items]
+        texts = [(NO_ID if item_id is None else item_id, normal(text.strip())[0]) for item_id, text in items]
         texts = [(item_id, folded) for item_id, folded in texts if len(folded) >= LEAST]
         self.item = np.array([item_id for item_id, _ in texts], np.int64)
         self.length = np.array([len(folded) for _, folded in texts], np.int64)
@@ -254,7 +256,7 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Items in blocks of bounded size, by ``item_id``."""
     block, size = [], 0
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    rows = rows.filter("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text")
+    rows = rows.filter("text IS NOT NULL").distinct().orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         if block and size + len(row["text"]) > BLOCK_CHARS:
             yield block
@@ -274,7 +276,8 @@ def _finder(items: list[tuple[int, str]]) -> Callable:
                 part = batch.slice(low, SLICE)
                 ids = part.column(0).to_pylist()
                 for first, texts in groups(part.column(1).to_pylist()):
-                    out += [(ids[first + i], *leak) for i, *leak in patterns.leaks(texts)]
+                    found = patterns.leaks(texts)
+                    out += [(ids[first + i], None if item == NO_ID else item, *leak) for i, item, *leak in found]
             columns = list(zip(*out)) or [()] * 6
             kinds = [pa.int64()] * 4 + [pa.int32()] * 2
             names = ["doc_id", "item_id", "doc_start", "doc_end", "patterns", "edits"]
@@ -287,7 +290,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, the stretch of the text (code points, end exclusive), stretches found (``patterns``), fewest
     edits.
 
-    One row for each document and item found in it; documents without a leak have none.
+    One row for each document and item found in it; documents without a leak have none. Items without an id count as one,
+    with a null ``item_id``.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None

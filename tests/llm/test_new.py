@@ -4,13 +4,15 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import re
+import time
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from chronoloom.llm import merkle, mixing, spelling
+from chronoloom.llm import decontaminate, entries, hidden_markov, merkle, mixing, spelling, token_files, url_filter, warc_zip
 from chronoloom.llm.ranking import placed
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, grp string, rank int, word string"
@@ -255,3 +257,56 @@ def test_spelling_of_the_table(spark):
 def test_spelling_of_nothing(docs):
     assert spelling.spelling_table(docs.limit(0)).collect() == []
     assert spelling.spelling_table(docs.withColumn("text", F.lit(None).cast("string"))).collect() == []
+
+
+# What earlier operators must do with odd rows.
+
+BIG = 1 << 60
+
+
+def test_ids_over_the_range_of_floats(spark):
+    pages = [(BIG + 1, "http://a.b/c", "one"), (BIG + 3, "http://a.b/d", "one"), (BIG + 5, None, None), (None, "x", "two")]
+    got = warc_zip.warc_table(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()
+    found = {r.page_id: (r.record_type, r.refers_to) for r in got}
+    assert found == {BIG + 1: ("revisit", BIG + 3), BIG + 3: ("response", None), BIG + 5: ("response", None), None: ("response", None)}
+    docs = [(BIG + i, "some words here " * i) for i in range(1, 6)] + [(None, "no id")]
+    scores = hidden_markov.score_table(spark.createDataFrame(docs, "doc_id bigint, text string"), 1).collect()
+    assert {r.doc_id: r.n_tokens for r in scores} == {**{BIG + i: 3 * i + 1 for i in range(1, 6)}, None: 3}
+
+
+def test_items_without_id_are_looked_for(spark, docs):
+    passage = "A question that nobody has asked before: which of these seven answers is the right one, and why?"
+    item = spark.createDataFrame([(None, passage), (1, "something else entirely, which is in no document at all here")], "item_id bigint, text string")
+    rows = docs.filter("doc_id < 3").withColumn("text", F.when(F.col("doc_id") == 1, f"Before. {passage} After.").otherwise("clean text"))
+    assert [(r.doc_id, r.item_id) for r in decontaminate.leaks(rows, item).collect()] == [(1, None)]
+    assert sorted(r.doc_id for r in decontaminate.decontaminated(rows, item).collect()) == [0, 2]
+
+
+def test_long_urls(spark):
+    urls = [(1, "http://x.org/" + "añ\U0001f600b" * 250_000), (2, "http://net/es/1"), (3, "http://www.example.com/en/"), (4, "http://q.org/" + "z" * 9000)]
+    started = time.monotonic()
+    got = url_filter.url_table(spark.createDataFrame(urls, "page_id bigint, url string"), entries.RULES).collect()
+    assert len(got) == 4 and {r.verdict for r in got} <= {"allow", "block"} and time.monotonic() - started < 60
+
+
+def test_grams_are_those_of_the_text(spark):
+    text = "aé\U0001f600b.c"
+    ends = f"\x02{text}\x03"
+    row = spark.range(1).select(*[g.alias(f"g{i}") for i, g in enumerate(url_filter._grams(F.lit(text), "h"))]).first()
+    for size, found in zip(url_filter.SIZES, row):
+        assert found == [f"h{size}{ends[i : i + size]}" for i in range(max(1, len(ends) - size + 1))]
+
+
+def test_token_ids_of_odd_texts():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    random.seed(5)
+    signs = [*"abXYZéßÀ ñ'  \n\t.,;:!?$<|>/w\"#&*123é́中文ﬁ-_`^~[]{}@\\", "<|endoftext|>", "'s", "</w>", "\u0085", "ſ", "İ", "ΑΣ"]
+    texts = ["".join(random.choices(signs, k=random.randrange(60))) for _ in range(5000)]
+    want = [[*e.ids, 1] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    encoder = token_files.Encoder(path)
+    assert encoder.encode(pa.array(texts), 1).to_pylist() == want
+    assert encoder.encode(pa.array(texts[::-1]), 1).to_pylist() == want[::-1]

@@ -33,14 +33,18 @@ from pyspark.sql import functions as F
 
 from chronoloom.llm.common import columns_of, written
 
-MAX_COMMON = 1 << 18
-BLOCK_CHARS = 2_000_000
-LONG = 1024
+MAX_COMMON = 1 << 20
+BLOCK_CHARS = 3_000_000
+#: Bytes of the longest words that are folded, a power of two.
+LONG_BITS = 10
+LONG = 1 << LONG_BITS
 Then = Callable[[pa.LargeListArray, pa.Array], dict[str, pa.Array]]
 #: Places in each half of the rank map, multipliers that spread pairs over them, and bits of a rank.
 SLOTS = (1 << 17) - 1
 FACTORS = (40503, 48271)
 BITS = 17
+#: Rank of pairs that make no piece.
+NONE = (1 << BITS) - 1
 
 #: A space beside other white space: only there can a word that begins with a space not be told from the space alone.
 UNEVEN = r" [\s\pZ\x0b\x1c-\x1f\x{85}]|[\s\pZ\x0b\x1c-\x1f\x{85}] "
@@ -89,50 +93,53 @@ def _rank_map(ranks: dict[bytes, int]) -> list[list[int]]:
 
 
 def _rank(table: Column, a: Column, b: Column) -> Column:
-    """Rank of the piece that two pieces make, null if none."""
-    pair = a * (1 << BITS) + b + 1
+    """Rank of the piece that two pieces make, ``NONE`` if they make none or the second is null.
+
+    An entry of the pair differs from the pair in the bits of the rank alone, any other one in higher bits as well.
+    """
+    pair = (a * (1 << BITS) + b + 1) * (1 << BITS)
     found = [F.get(table[f"half{i}"], place.cast("int")) for i, place in enumerate(_places(a, b))]
-    return F.coalesce(*[F.when(F.shiftright(e, BITS) == pair, e.bitwiseAND((1 << BITS) - 1)) for e in found])
+    return F.least(*[e.bitwiseXOR(pair) for e in found], F.lit(NONE).cast("bigint"))
 
 
 def merged(words: Column, ranks: dict[bytes, int]) -> Column:
-    """Ids of each word of an array of words."""
+    """Ids of each word of an array of words; words have at most ``LONG`` bytes.
+
+    The state of the fold is one number for each piece so far: the rank of it and the next piece, where it starts, and its id.
+    The least of them is the leftmost pair of least rank.
+    """
     rest = 1 << 30
-    none = F.array().cast("array<bigint>")
+    id_of = lambda x: x.bitwiseAND(NONE)
 
-    def state(ids: Column, found: Column) -> Column:
-        """Ids, the rank of every pair of neighbours, and the place of the pair to be joined next."""
-        return _let(
-            F.struct(ids.alias("ids"), found.alias("ranks")),
-            lambda s: F.struct(
-                s["ids"].alias("ids"),
-                s["ranks"].alias("ranks"),
-                F.array_position(s["ranks"], F.array_min(s["ranks"])).cast("int").alias("at"),
-            ),
-        )
+    def entry(table: Column, start: Column, id_: Column, after: Column) -> Column:
+        return (_rank(table, id_, after) * LONG + start) * (1 << BITS) + id_
 
     def fold(table: Column, ids: Column) -> Column:
+        def joined(s: Column, at: Column, least: Column) -> Column:
+            def placed(new: Column) -> Column:
+                here = entry(table, F.shiftright(least, BITS) % LONG, new, id_of(F.get(s, at + 1)))
+                left = F.get(s, at - 2)
+                before = entry(table, F.shiftright(left, BITS) % LONG, id_of(left), new)
+                both = F.when(at > 1, F.array(before, here)).otherwise(F.array(here))
+                return F.flatten(F.array(F.slice(s, 1, F.greatest(at - 2, F.lit(0))), both, F.slice(s, at + 2, rest)))
+
+            return _let(F.shiftright(least, BITS + LONG_BITS), placed)
+
         def step(s: Column, _: Column) -> Column:
-            at, new = s["at"], F.get(s["ranks"], s["at"] - 1)
-            left = F.when(at > 1, F.array(_rank(table, F.get(s["ids"], at - 2), new))).otherwise(none)
-            right = F.when(at + 1 < F.size(s["ids"]), F.array(_rank(table, new, F.get(s["ids"], at + 1)))).otherwise(none)
-            joined = state(
-                F.flatten(F.array(F.slice(s["ids"], 1, at - 1), F.array(new), F.slice(s["ids"], at + 2, rest))),
-                F.flatten(
-                    F.array(F.slice(s["ranks"], 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(s["ranks"], at + 2, rest))
-                ),
-            )
-            return F.when(at.isNull(), s).otherwise(joined)
-
-        pairs = F.transform(F.slice(ids, 2, rest), lambda b, i: _rank(table, F.get(ids, i), b))
+            def of(least: Column) -> Column:
+                further = _let(F.array_position(s, least).cast("int"), lambda at: joined(s, at, least))
+                return F.when(F.shiftright(least, BITS + LONG_BITS) == NONE, s).otherwise(further)
+
+            return _let(F.array_min(s), of)
+
+        first = F.transform(ids, lambda a, i: entry(table, i.cast("bigint"), a, F.get(ids, i + 1)))
         steps = F.sequence(F.lit(2), F.greatest(F.size(ids), F.lit(2)))
-        return F.aggregate(steps, state(ids, pairs), step, lambda s: F.transform(s["ids"], lambda x: x.cast("int")))
+        return F.aggregate(steps, first, step, lambda s: F.transform(s, lambda x: id_of(x).cast("int")))
 
     def of(table: Column, word: Column) -> Column:
         latin = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-        places = F.sequence(F.lit(1), F.greatest(F.octet_length(word), F.lit(1)))
         return _let(
-            F.transform(places, lambda i: F.get(table["bytes"], F.ascii(F.substr(latin, i, F.lit(1))))),
+            F.transform(F.split(latin, ""), lambda c: F.get(table["bytes"], F.ascii(c))),
             lambda ids: fold(table, ids),
         )
 

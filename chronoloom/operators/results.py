@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.operators.measurements import current_database
+from chronoloom.operators.pruning import pruned_sql
 from chronoloom.session import settings
 
 # Levels of an estimate and the row count each begins at.
@@ -21,11 +22,14 @@ LEVELS = (("none", 0), ("low", 10_000), ("medium", 100_000), ("high", 1_000_000)
 
 
 def run_sql(spark: SparkSession, sql: str, database: str | None = None) -> DataFrame:
-    """The query's rows; names without a database are looked up in ``database``."""
+    """The query's rows; names without a database are looked up in ``database``.
+
+    Bounds on ``time`` prune days, and the newest rows are looked for in the newest days.
+    """
     if not sql or not sql.strip():
         raise ValueError("SQL query cannot be empty")
     with current_database(spark, database):
-        return spark.sql(sql)
+        return pruned_sql(spark, sql)
 
 
 def epoch_rows(df: DataFrame) -> DataFrame:

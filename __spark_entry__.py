@@ -34,7 +34,7 @@ from chronoloom.sources.columnar import columnar_batches, columnar_rows  # noqa:
 from chronoloom.sources.frames import table_rows  # noqa: E402
 from chronoloom.sources.lines import parse_lines, read_lines, typed_rows  # noqa: E402
 from chronoloom.sources.records import record_rows  # noqa: E402
-from chronoloom.streaming.ingest import expose, ingested, start_ingest, stream_points  # noqa: E402
+from chronoloom.streaming.ingest import expose, ingested, into_measurement, start_ingest, stream_points  # noqa: E402
 from chronoloom.streaming.rollup import rollup  # noqa: E402
 
 LLM = importlib.util.find_spec("chronoloom.llm") is not None and importlib.util.find_spec("corpus_pipeline") is not None
@@ -139,6 +139,26 @@ def _tag_avg_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(sql, events=events)
 
 
+def _days_opened(df: DataFrame) -> int:
+    return len({path.split("day=")[1].split("/")[0] for path in df.inputFiles()})
+
+
+def _sql_day_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds on ``time`` in SQL, and how many days were opened for them."""
+    database = _loaded(spark, sf_dir)
+    sql = "SELECT time, event_id, value FROM ticks WHERE time >= '2024-01-05 12:00:00' AND time < '2024-01-09 00:00:00'"
+    rows = run_sql(spark, sql, database)
+    return _shown(rows).withColumn("days_opened", F.lit(_days_opened(rows)).cast("bigint"))
+
+
+def _sql_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows, from the newest days alone."""
+    database = _loaded(spark, sf_dir)
+    sql = "SELECT time, event_id, value FROM ticks ORDER BY time DESC, event_id DESC LIMIT 10"
+    rows = run_sql(spark, sql, database)
+    return _shown(rows).withColumn("days_opened", F.lit(_days_opened(rows)).cast("bigint"))
+
+
 def _result_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epoch_rows(_events(spark, sf_dir, "event_id", "event_type", "value"))
 
@@ -430,6 +450,27 @@ def _delete_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _delete_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes under several limits: which of them are refused, and the rows that are left after each."""
+    database = _loaded(spark, sf_dir)
+    cases = [
+        ("dry_run", {"dry_run": True, "limits": deletion.DeleteLimits(confirmation_threshold=0)}),
+        ("switched_off", {"confirm": True, "limits": deletion.DeleteLimits(enabled=False)}),
+        ("unconfirmed", {"limits": deletion.DeleteLimits(confirmation_threshold=20)}),
+        ("too_many", {"confirm": True, "limits": deletion.DeleteLimits(max_rows_per_delete=20)}),
+        ("confirmed", {"confirm": True, "limits": deletion.DeleteLimits(max_rows_per_delete=2**62)}),
+    ]
+    out = []
+    for name, options in cases:
+        try:
+            deletion.delete(spark, database, "ticks", DOOMED, **{"dry_run": False, **options})
+            refused = False
+        except ValueError:
+            refused = True
+        out.append((name, refused, store.read(spark, database, "ticks").count()))
+    return spark.createDataFrame(out, "attempt string, refused boolean, rows bigint")
+
+
 def _policy(database: str) -> retention.RetentionPolicy:
     return retention.RetentionPolicy(id=7, name="short", database=database, retention_days=10, buffer_days=2)
 
@@ -489,6 +530,19 @@ def _stream_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(run_sql(spark, sql, database))
 
 
+def _stream_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream into a measurement, from which rows are then deleted, downsampled and expired."""
+    folder, database = _folder(configure(spark)), _database(spark)
+    rows = table_rows(_event_stream(spark, sf_dir).select("ts", "event_type", "value"), "ts")
+    into_measurement(rows, database, f"{folder}/mark", "ticks", ["event_type"], once=True).awaitTermination()
+    limits = deletion.DeleteLimits(max_rows_per_delete=2**62)
+    deletion.delete(spark, database, "ticks", DOOMED, dry_run=False, confirm=True, limits=limits)
+    continuous.run_query(spark, _hourly(database), "2024-01-01", AS_OF)
+    retention.run_retention(spark, _policy(database), AS_OF, dry_run=False, confirm=True)
+    kept = [store.read(spark, database, "ticks_1h"), store.read(spark, database, "ticks").withColumn("top", F.lit(None).cast("double"))]
+    return _shown(kept[0].unionByName(kept[1]).drop("day"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Load events as a measurement, then downsample it by SQL."""
     database = _loaded(spark, "/root/testdata/sf0.001")
@@ -522,6 +576,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recent_window": _recent_window,
         "day_range": _day_range,
         "latest_n": _latest_n,
+        "sql_day_bounds": _sql_day_bounds,
+        "sql_newest": _sql_newest,
         "tag_avg_max": _tag_avg_max,
         "result_envelope": _result_envelope,
         "estimate_rows": _estimate_rows,
@@ -547,12 +603,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cq_tiered": _cq_tiered,
         "delete_survivors": _delete_survivors,
         "delete_report": _delete_report,
+        "delete_guard": _delete_guard,
         "retention_plan": _retention_plan,
         "retention_survivors": _retention_survivors,
         "retention_history": _retention_history,
         "stream_ingest": _stream_ingest,
         "stream_downsample": _stream_downsample,
         "stream_sql": _stream_sql,
+        "stream_measurement": _stream_measurement,
     } | (_llm_queries() if LLM else {})
 
 
@@ -599,6 +657,13 @@ def oracle_sql() -> dict[str, str]:
             f"{rows} WHERE ts >= TIMESTAMP '2024-01-05 12:00:00' AND ts < TIMESTAMP '2024-01-09 00:00:00'"
         ),
         "latest_n": "SELECT ts AS time, event_id, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 10",
+        "sql_day_bounds": "SELECT ts AS time, event_id, value, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM events "
+        "WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-09 00:00:00') AS days_opened FROM events "
+        "WHERE ts >= TIMESTAMP '2024-01-05 12:00:00' AND ts < TIMESTAMP '2024-01-09 00:00:00'",
+        "sql_newest": """WITH days AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1),
+            sums AS (SELECT *, sum(n) OVER (ORDER BY day DESC) - n AS newer FROM days)
+            SELECT ts AS time, event_id, value, (SELECT count(*) FROM sums WHERE newer < 10) AS days_opened
+            FROM events ORDER BY ts DESC, event_id DESC LIMIT 10""",
         "tag_avg_max": "SELECT event_type, round(avg(value), 6) AS value, max(user_id) AS top_user "
         "FROM events GROUP BY event_type",
         "result_envelope": "SELECT epoch_us(ts) AS time, event_id, event_type, value FROM events",
@@ -655,6 +720,11 @@ def oracle_sql() -> dict[str, str]:
         "delete_report": f"""SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS rows,
             count(*) FILTER ({doomed}) AS matched, count(*) FILTER ({doomed}) < count(*) AS rewritten
             FROM events GROUP BY 1 HAVING count(*) FILTER ({doomed}) > 0""",
+        "delete_guard": f"""WITH c AS (SELECT count(*) AS n, count(*) FILTER ({doomed}) AS hit FROM events)
+            SELECT 'dry_run' AS attempt, false AS refused, n AS rows FROM c UNION ALL SELECT 'switched_off', true, n FROM c
+            UNION ALL SELECT 'unconfirmed', hit > 20, CASE WHEN hit > 20 THEN n ELSE n - hit END FROM c
+            UNION ALL SELECT 'too_many', hit > 20, CASE WHEN hit > 20 THEN n ELSE n - hit END FROM c
+            UNION ALL SELECT 'confirmed', false, n - hit FROM c""",
         "retention_plan": """SELECT CAST(7 AS BIGINT) AS policy_id, 'ticks' AS measurement,
             TIMESTAMP '2024-01-19 00:00:00' AS cutoff_date, CAST(ts AS DATE) AS day, count(*) AS rows
             FROM events WHERE ts < TIMESTAMP '2024-01-19 00:00:00' GROUP BY 4""",
@@ -667,6 +737,9 @@ def oracle_sql() -> dict[str, str]:
             max(value) AS top FROM events GROUP BY 1, 2
             HAVING time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour'
               <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""",
+        "stream_measurement": f"""SELECT * FROM ({hourly(f"NOT {doomed}")}) WHERE time >= TIMESTAMP '2024-01-19 00:00:00'
+            UNION ALL SELECT ts, event_type, value, CAST(NULL AS DOUBLE) FROM events
+            WHERE NOT {doomed} AND ts >= TIMESTAMP '2024-01-19 00:00:00'""",
         "stream_sql": "SELECT time_bucket(INTERVAL '1 day', ts) AS time, max(value) AS top, count(*) AS n "
         "FROM events WHERE event_type = 'purchase' GROUP BY 1",
     } | (_llm_sql() if LLM else {})

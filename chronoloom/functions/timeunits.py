@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Units accepted for columnar times and their length in microseconds.
@@ -52,9 +52,16 @@ def now_micros() -> int:
     return int(time.time() * 1_000_000)
 
 
-def generated_time(now_us: int, position: Column | None = None) -> Column:
-    """Time for rows that came without one: ``now_us``, plus the row's place in its batch."""
-    base = F.lit(now_us).cast("bigint")
+def moment_of(df: DataFrame, now_us: int | None) -> Column:
+    """Microseconds of ``now_us``, else of now: when the job was planned or, in a stream, when the micro-batch was."""
+    if now_us is None and df.isStreaming:
+        return F.unix_micros(F.current_timestamp())
+    return F.lit(now_micros() if now_us is None else now_us).cast("bigint")
+
+
+def generated_time(base: int | Column, position: Column | None = None) -> Column:
+    """Time for rows that came without one: the microsecond ``base``, plus the row's place in its batch."""
+    base = F.lit(base).cast("bigint")
     return F.timestamp_micros(base if position is None else base + position)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime, timedelta
@@ -94,7 +95,7 @@ def append(
     spark = df.sparkSession
     rows = with_day(df)
     prepare(spark, rows, database, measurement, tags)
-    rows = _aligned(rows, spark.table(quoted(database, measurement)))
+    rows = aligned(rows, spark.table(quoted(database, measurement)))
     if cluster:
         rows = _clustered(rows, tags_of(spark, database, measurement))
     limit = {"spark.sql.files.maxRecordsPerFile": str(max_rows_per_file)} if max_rows_per_file else {}
@@ -109,26 +110,19 @@ def _clustered(rows: DataFrame, tags: Sequence[str]) -> DataFrame:
 def prepare(
     spark: SparkSession, rows: DataFrame, database: str, measurement: str, tags: Sequence[str] = ()
 ) -> None:
-    """Create the table, or add its new columns, for rows that have a ``day``."""
+    """Create the table, or add its new columns, for rows that have a ``day``. Columns of nulls alone have no type yet and are left out."""
     table = quoted(database, measurement)
+    fields = check_columns(spark, rows, database, measurement)
     if not exists(spark, database, measurement):
-        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != DAY)
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields if f.name != DAY)
         listed = f"TBLPROPERTIES ('tags' = '{_property(sorted(set(tags)))}')"
         spark.sql(
             f"CREATE TABLE {table} ({columns}, {DAY} DATE) USING parquet "
             f"OPTIONS ('compression' = '{COMPRESSION}') PARTITIONED BY ({DAY}) {listed}"
         )
         return
-    have = {f.name: f.dataType for f in spark.table(table).schema.fields}
-    new = []
-    for field in rows.schema.fields:
-        if field.name not in have:
-            new.append(f"{quoted(field.name)} {field.dataType.simpleString()}")
-        elif not _fits(field.dataType, have[field.name]):
-            raise ValueError(
-                f"column {field.name!r} of {database}.{measurement} is {have[field.name].simpleString()}, "
-                f"the new rows hold {field.dataType.simpleString()}"
-            )
+    have = set(spark.table(table).columns)
+    new = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields if f.name not in have]
     if new:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
     known = tags_of(spark, database, measurement)
@@ -136,30 +130,48 @@ def prepare(
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('tags' = '{_property(sorted({*known, *tags}))}')")
 
 
+def check_columns(spark: SparkSession, rows: DataFrame, database: str, measurement: str) -> list[T.StructField]:
+    """Columns of new rows that a table will hold; one that clashes with another or with the table's is an error."""
+    fields = [f for f in rows.schema.fields if not isinstance(f.dataType, T.NullType)]
+    known = spark.table(quoted(database, measurement)).schema.fields if exists(spark, database, measurement) else []
+    have = {f.name: f.dataType for f in known}
+    spelt = {name.lower(): name for name in have}
+    for field in fields:
+        if spelt.setdefault(field.name.lower(), field.name) != field.name:
+            raise ValueError(f"columns {spelt[field.name.lower()]!r} and {field.name!r} of {database}.{measurement} differ in case alone")
+        if field.name in have and not _fits(field.dataType, have[field.name]):
+            raise ValueError(
+                f"column {field.name!r} of {database}.{measurement} is {have[field.name].simpleString()}, "
+                f"the new rows hold {field.dataType.simpleString()}"
+            )
+    return fields
+
+
 def _property(names: Sequence[str]) -> str:
-    return ",".join(names).replace("\\", "\\\\").replace("'", "\\'")
+    return json.dumps(list(names)).replace("\\", "\\\\").replace("'", "\\'")
 
 
 def tags_of(spark: SparkSession, database: str, measurement: str) -> list[str]:
     """Tag columns, as noted in the table's properties."""
     row = spark.sql(f"SHOW TBLPROPERTIES {quoted(database, measurement)} ('tags')").first()
-    return [] if row is None or "not have property" in row.value else [n for n in row.value.split(",") if n]
+    if row is None or "not have property" in row.value:
+        return []
+    return json.loads(row.value) if row.value.startswith("[") else [n for n in row.value.split(",") if n]
 
 
-# Numeric types from narrow to wide, each of which holds the ones before it.
-_WIDTHS = ["tinyint", "smallint", "int", "bigint", "double"]
+# Numeric types from narrow to wide, each of which holds the ones before it without loss.
+_WIDTHS = ["tinyint", "smallint", "int", "bigint"], ["tinyint", "smallint", "int", "double"], ["float", "double"]
 
 
 def _fits(new: T.DataType, old: T.DataType) -> bool:
     if new == old or isinstance(new, T.NullType):
         return True
-    names = [new.simpleString(), old.simpleString()]
-    if names == ["float", "double"]:
-        return True
-    return all(n in _WIDTHS for n in names) and _WIDTHS.index(names[0]) <= _WIDTHS.index(names[1])
+    narrow, wide = new.simpleString(), old.simpleString()
+    return any(narrow in kinds and wide in kinds and kinds.index(narrow) <= kinds.index(wide) for kinds in _WIDTHS)
 
 
-def _aligned(rows: DataFrame, table: DataFrame) -> DataFrame:
+def aligned(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Rows with a table's columns and types; columns they lack are null."""
     return rows.select(
         *[
             (F.col(quoted(f.name)) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -188,7 +200,7 @@ def replace_days(
     table = quoted(database, measurement)
     root = location(spark, database, measurement)
     target = f"{root}/rev={uuid4().hex}"
-    rows = _aligned(rows, spark.table(table))
+    rows = aligned(rows, spark.table(table))
     if cluster:
         rows = _clustered(rows, tags_of(spark, database, measurement))
     with settings(spark, WRITERS):

@@ -26,7 +26,10 @@ class DeleteLimits:
 
 @dataclass(frozen=True)
 class DeleteResult:
-    """What a delete did or, as a dry run, would do; ``files_processed`` is the report by file."""
+    """What a delete did or, as a dry run, would do; ``files_processed`` is the report by file.
+
+    ``affected_files`` hold matching rows; ``rewritten_files`` are those whose other rows are written to new files.
+    """
 
     success: bool
     deleted_count: int
@@ -68,9 +71,10 @@ def survivors(rows: DataFrame, where: str | Column) -> DataFrame:
 
 
 def delete_report(spark: SparkSession, database: str, measurement: str, where: str) -> DataFrame:
-    """Files with matching rows: ``day, file_path, rows, matched, rewritten``.
+    """Files of days with matching rows: ``day, file_path, rows, matched, rewritten``.
 
-    A file whose rows all match is dropped, the others are rewritten. Matching rows are found with the predicate pushed
+    A day with matching rows is written anew: ``rewritten`` are its files that have rows to keep, whether or not any of
+    their own match; files whose rows all match are dropped. Matching rows are found with the predicate pushed
     into the scan, so files and row groups without any are skipped; all rows are counted, from footers, only in the
     days that were hit.
     """
@@ -85,7 +89,7 @@ def delete_report(spark: SparkSession, database: str, measurement: str, where: s
         F.col("_file").alias("file_path"),
         "rows",
         F.coalesce("matched", F.lit(0)).alias("matched"),
-        (F.coalesce("matched", F.lit(0)).between(1, F.col("rows") - 1)).alias("rewritten"),
+        (F.col("rows") > F.coalesce("matched", F.lit(0))).alias("rewritten"),
     )
 
 
@@ -140,5 +144,5 @@ def delete(
         rewritten_files=sum(row.rewritten for row in by_day),
         execution_time_ms=(time.monotonic() - started) * 1000,
         dry_run=dry_run,
-        files_processed=report.filter("matched > 0"),
+        files_processed=report.filter("matched > 0 OR rewritten"),
     )

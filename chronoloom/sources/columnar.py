@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoloom.functions.timeunits import generated_time, now_micros, to_time
+from chronoloom.functions.timeunits import generated_time, moment_of, to_time
 from chronoloom.session import shared_dir
 
 
@@ -24,7 +24,7 @@ def columnar_rows(df: DataFrame, time_unit: str = "us", now_us: int | None = Non
     if not names:
         raise ValueError("columns cannot be empty")
     to_time(F.lit(0), time_unit)
-    stamp = now_micros() if now_us is None else now_us
+    stamp = moment_of(df, now_us)
 
     # What is asked of a whole batch is asked before the explode: after it, each row would carry the arrays along.
     sized = df.select("m", "columns", *_lengths(kind))

@@ -21,10 +21,8 @@ from chronoloom.functions.linetext import (
     field_value,
     unescape,
 )
-from chronoloom.functions.timeunits import nanos_to_time, now_micros
+from chronoloom.functions.timeunits import generated_time, moment_of, nanos_to_time
 
-# Keys become columns, so they go to the driver only within what tables can hold.
-MAX_KEYS = 100_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -103,11 +101,9 @@ def line_schema(parsed: DataFrame) -> DataFrame:
 
 def known_schemas(parsed: DataFrame) -> dict[str, tuple[list[str], dict[str, str]]]:
     """Tags and typed fields of each measurement, looked up by ``line_schema`` in one pass."""
-    rows = line_schema(parsed).limit(MAX_KEYS + 1).collect()
-    if len(rows) > MAX_KEYS:
-        raise ValueError(f"the lines have over {MAX_KEYS} keys; name the tags and fields to keep")
     kinds: dict[str, dict[tuple[str, str], set[str]]] = {}
-    for row in rows:
+    # One row for each column that a table will have; they come a partition at a time.
+    for row in line_schema(parsed).toLocalIterator():
         kinds.setdefault(row.measurement, {}).setdefault((row.part, row.key), set()).add(row.type)
     return {name: _typed_keys(name, keys) for name, keys in sorted(kinds.items())}
 
@@ -146,11 +142,7 @@ def typed_rows(
         raise ValueError("fields cannot be empty")
     if "time" in tags or "time" in fields:
         raise ValueError("a tag or field may not be called 'time'")
-    if now_us is None and parsed.isStreaming:
-        # Fixed for each micro-batch, where the driver's clock would be fixed for the whole stream.
-        stamp = F.current_timestamp()
-    else:
-        stamp = F.timestamp_micros(F.lit(now_micros() if now_us is None else now_us).cast("bigint"))
+    stamp = generated_time(moment_of(parsed, now_us))
     columns = [F.coalesce(nanos_to_time(F.col("time_ns")), stamp).alias("time")]
     for key in tags:
         columns.append(unescape(_lookup("tag_keys", "tag_values", key), KEY_SPECIAL).alias(key))

@@ -8,10 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoloom.functions.timeunits import generated_time, now_micros
+from chronoloom.functions.timeunits import generated_time, moment_of
 
-# A key set is one column per key, so it goes to the driver only within what a table can hold.
-MAX_KEYS = 10_000
 
 
 def record_rows(
@@ -38,7 +36,7 @@ def record_rows(
     if "time" in fields or "time" in tags:
         raise ValueError("a tag or field may not be called 'time'")
 
-    stamp = generated_time(now_micros() if now_us is None else now_us)
+    stamp = generated_time(moment_of(df, now_us))
     given = F.timestamp_micros(F.col("timestamp").cast("bigint")) if "timestamp" in kinds else F.lit(None)
     time = F.when(~has_fields(kinds["fields"], F.col("fields")), F.raise_error(F.lit("record must have 'fields'")))
     name = F.col("measurement")
@@ -89,7 +87,11 @@ def cells(
 def map_keys(df: DataFrame, column: str) -> list[str]:
     """Distinct keys of a map column, reduced on the map side to one row per key and task."""
     keys = df.select(F.explode(F.map_keys(column)).alias("key")).distinct()
-    found = [row.key for row in keys.limit(MAX_KEYS + 1).collect()]
-    if len(found) > MAX_KEYS:
-        raise ValueError(f"{column!r} has over {MAX_KEYS} keys; name the ones to promote")
-    return sorted(found)
+    return sorted(row.key for row in keys.toLocalIterator())
+
+
+def tags_in(df: DataFrame, tag_names: Sequence[str] | None = None, column: str = "tags") -> list[str]:
+    """Names of the tags of records, or of the items of mixed batches with ``column`` as ``item.tags``."""
+    head, _, last = column.rpartition(".")
+    there = df.select(f"{head}.*") if head else df
+    return list(cells(df, last, tag_names, f"{head}." if head else "")) if last in there.columns else []

@@ -10,7 +10,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.functions import lit
+from pyspark.sql.functions import explode, lit
 
 from chronoloom.functions.timeunits import now_micros, to_micros
 from chronoloom.operators import measurements, results
@@ -21,7 +21,7 @@ from chronoloom.session import configure
 from chronoloom.sources.batches import batch_rows
 from chronoloom.sources.columnar import columnar_rows
 from chronoloom.sources.frames import as_spark, table_rows
-from chronoloom.sources.records import record_rows
+from chronoloom.sources.records import record_rows, tags_in
 
 
 class Workspace:
@@ -62,14 +62,17 @@ class Workspace:
 
     def write_mixed(self, payloads: DataFrame, database: str | None = None, **keys: Sequence[str]) -> list[str]:
         """Append mixed batches, ``batch``."""
-        return append_each(batch_rows(payloads, **keys), database or self.database)
+        items = payloads.select(explode("batch").alias("item"))
+        tags = tags_in(items, keys.get("tag_names"), "item.tags")
+        return append_each(batch_rows(payloads, **keys), database or self.database, tags)
 
     def write_records(
         self, records: DataFrame | Sequence[Mapping[str, Any]], database: str | None = None, **keys: Sequence[str]
     ) -> list[str]:
         """Append records ``{measurement, timestamp?, fields, tags?}``."""
         if isinstance(records, DataFrame):
-            return append_each(record_rows(records, **keys), database or self.database)
+            tags = tags_in(records, keys.get("tag_names"))
+            return append_each(record_rows(records, **keys), database or self.database, tags)
         if not records:
             raise ValueError("records cannot be empty")
         by_name: dict[str, list[dict[str, Any]]] = {}

@@ -126,22 +126,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def quality_sql() -> str:
     """Counts, sketches, thresholds and verdicts of the quality rules."""
     word = r"[^\x20\x09-\x0D]+"
-    least = ", ".join(f"('{m}', {v})" for m, v in quality.LEAST_SPREAD.items())
+    rules = ", ".join(f"('{m}', {low}, {high}, {least})" for m, (low, high, least) in quality.RULES.items())
     shift = f"greatest(length(bin(value)) - {quality.SKETCH_BITS}, 0)"
     bare = lambda c: f"length(regexp_replace({c}, '[\\x20\\x09-\\x0D]', '', 'g'))"
 
-    def bounds(keys: str, join: str, least_rows: int) -> str:
+    def bounds(keys: str) -> str:
         group = f"{keys}, " if keys else ""
         over = f"PARTITION BY {group}measure"
-        return f"""(SELECT {group}measure, CASE WHEN any_value(total) >= {least_rows} THEN
-            min(bucket) FILTER (100 * upto >= 75 * total) + {quality.WIDTH} * greatest(
-              min(bucket) FILTER (100 * upto >= 75 * total) - min(bucket) FILTER (100 * upto >= 25 * total), any_value(least))
-            END AS bound
+        return f"""(SELECT {group}measure, any_value(total) AS n,
+            min(bucket) FILTER (100 * upto >= high * total) + {quality.WIDTH} * greatest(
+              min(bucket) FILTER (100 * upto >= high * total) - min(bucket) FILTER (100 * upto >= low * total), any_value(least))
+            AS bound
           FROM (SELECT *, sum(n) OVER ({over}) AS total,
               sum(n) OVER ({over} ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS upto
             FROM (SELECT {group}measure, bucket, sum(n) AS n FROM sketch GROUP BY ALL)
-            JOIN (VALUES {least}) l(measure, least) USING (measure))
-          GROUP BY ALL) {join}"""
+            JOIN (VALUES {rules}) l(measure, low, high, least) USING (measure))
+          GROUP BY ALL)"""
+
+    def held(name: str, by: str) -> str:
+        return f"(({name}.n * {name}.bound + {quality.HELD} * {by}) // ({name}.n + {quality.HELD}))"
 
     return rf"""WITH texts AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
       split AS (SELECT *, regexp_extract_all(text, '{word}') AS w,
@@ -165,9 +168,8 @@ def quality_sql() -> str:
         FROM failed),
       sketch AS (SELECT lang, source, measure, (value >> {shift}) << {shift} AS bucket, count(*) AS n
         FROM measures WHERE NOT base_failed GROUP BY ALL),
-      own AS {bounds('lang, source', '', quality.MIN_ROWS)}, langs AS {bounds('lang', '', quality.MIN_ROWS)},
-      every AS {bounds('', '', 0)},
-      over AS (SELECT r, bool_or(value > coalesce(own.bound, langs.bound, every.bound)) AS rejected FROM measures m
+      own AS {bounds('lang, source')}, langs AS {bounds('lang')}, every AS {bounds('')},
+      over AS (SELECT r, bool_or(value > {held('own', held('langs', 'every.bound'))}) AS rejected FROM measures m
         JOIN own ON own.lang IS NOT DISTINCT FROM m.lang AND own.source IS NOT DISTINCT FROM m.source
           AND own.measure = m.measure
         LEFT JOIN langs ON langs.lang IS NOT DISTINCT FROM m.lang AND langs.measure = m.measure

@@ -5,9 +5,11 @@ log-linear bucket: a value keeps its ``SKETCH_BITS`` leading bits, so a quantile
 Such sketches merge by adding counts, in any order and with the same result, so lost executors change nothing. The sketch
 of a language is the sum of its sources' sketches, and that of the corpus the sum of all.
 
-A document is rejected by a measure that lies over ``q75 + WIDTH * max(q75 - q25, least)`` of its group, where ``least``
-is the smallest spread that is taken as real. Groups with fewer than ``MIN_ROWS`` documents use the sketch of their
-language, and languages with fewer use that of the corpus.
+A document is rejected by a measure that lies over ``high + WIDTH * max(high - low, least)`` of its group. ``low`` and ``high`` are
+quantiles of the sketch: the quartiles for measures that vary among sound documents, the median and a far quantile for those that
+are zero in most; ``least`` is a spread so small that only groups without any spread fall back on it. A group's bound is held against
+that of its language, and a language's against the corpus', as if ``HELD`` more documents spoke for the larger one; a small group thus
+has nearly the bound of its language, and no group's rows move the bound of another by more than that share.
 
 Only DataFrame functions are used. Null languages and sources are groups of their own. A null or empty text has no words
 and fails the base rules. Rows that repeat count as often as they occur. Extra columns are kept.
@@ -21,14 +23,20 @@ from pyspark.sql import functions as F
 from chronoloom.llm.common import SPACES, packed, words_of, written
 
 SKETCH_BITS = 6
-WIDTH = 4
-MIN_ROWS = 50
-#: Measure and the smallest spread taken as real; shares are in thousandths.
-LEAST_SPREAD = {"symbol_share": 20, "capital_share": 40, "dup_line_share": 100, "repeat_share": 120, "mean_length": 1000}
+WIDTH = 8
+HELD = 50
+#: By measure: the lower and the upper quantile, in percent, and the least spread; shares and lengths are in thousandths.
+RULES = {
+    "symbol_share": (25, 75, 4),
+    "capital_share": (25, 75, 2),
+    "dup_line_share": (50, 99, 45),
+    "repeat_share": (50, 99, 45),
+    "mean_length": (25, 75, 60),
+}
 #: Groups whose thresholds may be sent to every executor; beyond, they are joined by a salted shuffle.
 MAX_SENT_GROUPS = 50_000
 SALTS = 32
-MEASURES = list(LEAST_SPREAD)
+MEASURES = list(RULES)
 
 
 def _starts(sorted_windows: Column) -> Column:
@@ -132,13 +140,13 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows``, ``q25`` and ``q75`` of each measure by ``keys``; a group has some hundred buckets at most."""
+    """``rows``, ``low`` and ``high`` of each measure by ``keys``; a group has some hundred buckets at most."""
     group = [*keys, "measure"]
     listed = sketch.groupBy(*group).agg(
         F.sum("n").alias("rows"), F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("b")
     )
 
-    def at(percent: int) -> Column:
+    def at(percent: Column) -> Column:
         """The first bucket at which ``percent`` of the rows are reached."""
         return F.aggregate(
             "b",
@@ -152,7 +160,12 @@ def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
             lambda a: a["found"],
         )
 
-    return listed.select(*group, "rows", at(25).alias("q25"), at(75).alias("q75"))
+    return listed.select(*group, "rows", at(_rule(0)).alias("low"), at(_rule(1)).alias("high"))
+
+
+def _rule(part: int) -> Column:
+    """A number of the rule of each row's measure."""
+    return F.element_at(F.create_map(*[F.lit(x) for m in MEASURES for x in (m, RULES[m][part])]), F.col("measure"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
@@ -160,13 +173,17 @@ def thresholds(sketch: DataFrame) -> DataFrame:
 
     def bounds(keys: list[str], name: str) -> DataFrame:
         found = quantiles(merged(sketch, keys), keys)
-        least = F.element_at(F.create_map(*[F.lit(x) for pair in LEAST_SPREAD.items() for x in pair]), F.col("measure"))
-        limit = F.col("q75") + WIDTH * F.greatest(F.col("q75") - F.col("q25"), least)
-        grown = found.select(*keys, "measure", F.when(F.col("rows") >= (MIN_ROWS if keys else 0), limit).alias("limit"))
-        return grown.groupBy(*keys).agg(
-            *[F.max(F.when(F.col("measure") == m, F.col("limit"))).alias(f"{name}_{m}") for m in MEASURES]
+        limit = F.col("high") + WIDTH * F.greatest(F.col("high") - F.col("low"), _rule(2).cast("long"))
+        return found.groupBy(*keys).agg(
+            F.max("rows").alias(f"{name}_rows"),
+            *[F.max(F.when(F.col("measure") == m, limit)).alias(f"{name}_{m}") for m in MEASURES],
         )
 
+    def held(name: str, m: str, by: Column) -> Column:
+        """A bound pulled toward the one above it."""
+        rows = F.col(f"{name}_rows")
+        return F.call_function("div", rows * F.col(f"{name}_{m}") + F.lit(HELD).cast("long") * by, rows + HELD)
+
     own = bounds(["lang", "source"], "own")
     lang = bounds(["lang"], "lang").withColumnRenamed("lang", "_lang")
     every = bounds([], "all").first()
@@ -174,7 +191,7 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     return joined.select(
         F.col("lang").alias("_lang"),
         F.col("source").alias("_source"),
-        *[F.coalesce(f"own_{m}", f"lang_{m}", F.lit(every[f"all_{m}"])).cast("long").alias(f"max_{m}") for m in MEASURES],
+        *[held("own", m, held("lang", m, F.lit(every[f"all_{m}"]).cast("long"))).alias(f"max_{m}") for m in MEASURES],
     )
 
 

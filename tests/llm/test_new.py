@@ -12,7 +12,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from chronoloom.llm import decontaminate, entries, hidden_markov, merkle, mixing, spelling, token_files, url_filter, warc_zip
+from chronoloom.llm import decontaminate, entries, hidden_markov, merkle, mixing, quality, spelling, token_files, url_filter, warc_zip
+from chronoloom.llm.common import written
 from chronoloom.llm.ranking import placed
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, grp string, rank int, word string"
@@ -310,3 +311,37 @@ def test_token_ids_of_odd_texts():
     encoder = token_files.Encoder(path)
     assert encoder.encode(pa.array(texts), 1).to_pylist() == want
     assert encoder.encode(pa.array(texts[::-1]), 1).to_pylist() == want[::-1]
+
+
+def test_bounds_follow_the_data_of_their_group(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(16)
+
+    def bounds(rows):
+        found = quality.thresholds(quality.sketches(written(quality.measured(rows), "measured"))).collect()
+        return {(r._lang, r._source): r.asDict() for r in found}
+
+    before = bounds(table)
+    for m in ("capital_share", "mean_length"):
+        assert len({b[f"max_{m}"] for b in before.values()}) > 10
+    # Longer words, and words of more different lengths, in one source of one language.
+    one = (F.col("lang") == "en") & (F.col("source") == "src3")
+    longer = F.regexp_replace("text", "([a-z]{6,})", "$1$1")
+    after = bounds(table.withColumn("text", F.when(one & (F.col("doc_id") % 3 == 0), longer).otherwise(F.col("text"))))
+    moved = {k for k in before if abs(after[k]["max_mean_length"] - before[k]["max_mean_length"]) > 300}
+    assert moved == {("en", "src3")}
+
+
+def test_quality_acts_and_keeps_good_documents(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(16)
+    rows = written(quality.measured(table), "measured")
+    limits = written(quality.thresholds(quality.sketches(rows)), "thresholds")
+    judged = quality.judged(rows, limits).filter("NOT q.base_failed")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    counts = judged.select("doc.doc_id", "kept").join(labels, "doc_id").groupBy("quality").agg(
+        F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("rejected")
+    )
+    found = {r.quality: (r.kept, r.rejected) for r in counts.collect()}
+    assert found[1][1] == 0 and found[0][0] == 0
+    joined = judged.join(limits, (F.col("lang") == F.col("_lang")) & (F.col("source") == F.col("_source")))
+    acts = joined.agg(*[F.count_if(F.col(f"q.{m}") > F.col(f"max_{m}")).alias(m) for m in quality.MEASURES]).first()
+    assert acts.symbol_share > 100 and acts.mean_length > 100

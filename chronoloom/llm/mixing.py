@@ -31,6 +31,8 @@ from chronoloom.llm.ranking import looked_up, placed
 BLOCK_WORDS = 16
 SHARD_BLOCKS = 1024
 SEED = 20_240_501
+#: Blocks whose draws are left to one task, about.
+DRAWN_TOGETHER = 1 << 19
 WHOLE = "decimal(38,0)"
 
 
@@ -135,7 +137,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.size(words_of(text)).cast("bigint").alias("size"),
         draw.alias("draw"),
     )
-    rows = placed(rows, ["grp"], ["draw", "doc_id", "size"], "size", "start").withColumnRenamed("group_size", "source_size")
+    # Written first, as sorting by ranges reads its rows twice.
+    rows = placed(written(rows, "sizes"), ["grp"], ["draw", "doc_id", "size"], "size", "start").withColumnRenamed("group_size", "source_size")
     rows = written(rows.drop("draw").withColumn("row", F.monotonically_increasing_id()), "streams")
 
     weights = F.array(*[F.lit(w) for w in mix.weights])
@@ -158,7 +161,9 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     votes = F.least(F.col("size") - F.col("unit") * words, F.lit(words))
     shards = shards.select("grp", "unit", votes.cast("double").alias("votes"), F.ceil(votes / BLOCK_WORDS).alias("blocks"))
     shares = apportioned(shards.select("grp", "unit", "votes", (F.col("blocks") * mix.most).alias("most")), quotas)
-    shares = shards.join(shares, ["grp", "unit"])
+    # Drawing blocks is the work here and not the bytes, so the number of tasks follows the number of blocks.
+    tasks = 1 + total // (BLOCK_WORDS * DRAWN_TOGETHER)
+    shares = shards.join(shares, ["grp", "unit"]).repartition(tasks, "grp", "unit")
     shares = written(shares.select("grp", "unit", _taken(F.col("unit"), F.col("blocks"), F.col("quota"), F.col("grp")).alias("times")), "shares")
 
     end = F.col("start") + F.col("size")

@@ -176,6 +176,8 @@ def merkle_table(docs: DataFrame) -> DataFrame:
         F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), first.alias("leaf")).alias("key"),
         again.alias("again"),
     )
+    # Written first, as sorting by ranges reads its rows twice and texts should be hashed once.
+    leaves = written(leaves, "leaves")
     leaves = leaves.select("grp", "key", F.col("key.leaf").alias("hash"), F.struct("key.doc_id", "again").alias("item"))
     rows = manifest(leaves).withColumn("folded_root", folded(F.col("path"), F.col("item.again")))
     return rows.select(

@@ -451,4 +451,4 @@ def test_pipeline(spark, table):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_names():
-    assert {re.match(r"op\d+", q).group() for q in entries.queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {re.match(r"op\d+", q).group() for q in entries.queries()} == {f"op{n}" for n in range(1, 14)}

@@ -450,6 +450,38 @@ def _delete_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _delete_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By day, of files that hold one event type each: how many a delete leaves in place, drops and writes again."""
+    database = _database(configure(spark))
+    rows = _events(spark, sf_dir, "event_id", "event_type", "value")
+    for test in ("event_type = 'error'", "event_type = 'view'", "event_type NOT IN ('error', 'view')"):
+        # One task a day, so one file a day.
+        store.append(rows.filter(test).repartition(F.to_date("time")), database, "ticks", tags=["event_type"])
+
+    def files() -> DataFrame:
+        found = store.read(spark, database, "ticks").select("day", F.col("_metadata.file_path").alias("file"))
+        return found.distinct().groupBy("day").agg(F.collect_set("file").alias("files"))
+
+    before = files().checkpoint()
+    limits = deletion.DeleteLimits(max_rows_per_delete=2**62)
+    done = deletion.delete(spark, database, "ticks", DOOMED, dry_run=False, confirm=True, limits=limits)
+    after = files().withColumnRenamed("files", "left")
+    steps = done.files_processed.groupBy("day").agg(
+        F.count_if(F.col("action") == "dropped").alias("dropped"), F.count_if("rewritten").alias("rewritten")
+    )
+    none = F.array().cast("array<string>")
+    return (
+        before.join(after, "day", "left")
+        .join(steps, "day", "left")
+        .select(
+            "day",
+            F.size(F.array_intersect("files", F.coalesce("left", none))).cast("bigint").alias("in_place"),
+            F.coalesce("dropped", F.lit(0)).alias("dropped"),
+            F.coalesce("rewritten", F.lit(0)).alias("rewritten"),
+        )
+    )
+
+
 def _delete_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deletes under several limits: which of them are refused, and the rows that are left after each."""
     database = _loaded(spark, sf_dir)
@@ -602,6 +634,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cq_history": _cq_history,
         "cq_tiered": _cq_tiered,
         "delete_survivors": _delete_survivors,
+        "delete_files": _delete_files,
         "delete_report": _delete_report,
         "delete_guard": _delete_guard,
         "retention_plan": _retention_plan,
@@ -720,6 +753,10 @@ def oracle_sql() -> dict[str, str]:
         "delete_report": f"""SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS rows,
             count(*) FILTER ({doomed}) AS matched, count(*) FILTER ({doomed}) < count(*) AS rewritten
             FROM events GROUP BY 1 HAVING count(*) FILTER ({doomed}) > 0""",
+        "delete_files": f"""WITH files AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER ({doomed}) AS hit FROM events
+            GROUP BY 1, CASE WHEN event_type IN ('error', 'view') THEN event_type ELSE '' END)
+            SELECT day, count(*) FILTER (hit = 0) AS in_place, count(*) FILTER (hit = n) AS dropped,
+            count(*) FILTER (hit > 0 AND hit < n) AS rewritten FROM files GROUP BY day""",
         "delete_guard": f"""WITH c AS (SELECT count(*) AS n, count(*) FILTER ({doomed}) AS hit FROM events)
             SELECT 'dry_run' AS attempt, false AS refused, n AS rows FROM c UNION ALL SELECT 'switched_off', true, n FROM c
             UNION ALL SELECT 'unconfirmed', hit > 20, CASE WHEN hit > 20 THEN n ELSE n - hit END FROM c

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.functions.timeunits import as_utc, instant
+from chronoloom.operators.files import Files
 from chronoloom.session import settings
 
 DAY = "day"
@@ -113,6 +114,7 @@ def prepare(
     """Create the table, or add its new columns, for rows that have a ``day``. Columns of nulls alone have no type yet and are left out."""
     table = quoted(database, measurement)
     fields = check_columns(spark, rows, database, measurement)
+    finish_changes(spark, database, measurement)
     if not exists(spark, database, measurement):
         columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields if f.name != DAY)
         listed = f"TBLPROPERTIES ('tags' = '{_property(sorted(set(tags)))}')"
@@ -199,6 +201,7 @@ def replace_days(
     """
     table = quoted(database, measurement)
     root = location(spark, database, measurement)
+    finish_changes(spark, database, measurement)
     target = f"{root}/rev={uuid4().hex}"
     rows = aligned(rows, spark.table(table))
     if cluster:
@@ -228,6 +231,72 @@ def replace_days(
     return written
 
 
+# Folders of changes to single files; readers pass over names that begin so.
+CHANGE = "_change-"
+LISTED = "_LIST"
+
+
+def replace_files(
+    spark: SparkSession,
+    database: str,
+    measurement: str,
+    rows: DataFrame,
+    count: int,
+    files: dict[date, list[str]],
+    whole: Iterable[date] = (),
+) -> None:
+    """Put ``rows`` in the place of some files of days, and drop ``whole`` days; all other files stay where they are.
+
+    ``rows``, which may be read from these files, are staged in a hidden folder of the table, and have to be ``count``. Then the
+    list of what goes is put beside them in one step, and from there on the change holds: it is carried out now, or, if the driver
+    is lost, by the next writer to the table, from wherever it stopped. Without its list a change has done nothing. While files
+    change places a reader may miss rows of the files that are replaced; it sees none twice.
+    """
+    store, stage = Files(spark), f"{location(spark, database, measurement)}/{CHANGE}{uuid4().hex}"
+    rows = aligned(rows, spark.table(quoted(database, measurement)))
+    if count:
+        with settings(spark, WRITERS):
+            rows.write.partitionBy(DAY).option("compression", COMPRESSION).parquet(stage)
+        staged = spark.read.schema(rows.schema).parquet(stage).count()
+        if staged != count:
+            store.remove(stage)
+            raise RuntimeError(f"{staged} rows are left where {count} were counted; the measurement has changed meanwhile")
+    gone = {f"{DAY}={day}": paths for day, paths in files.items()}
+    store.write(f"{stage}/{LISTED}", json.dumps({"gone": gone, "whole": [day.isoformat() for day in whole]}))
+    _carry_out(spark, database, measurement, stage)
+
+
+def finish_changes(spark: SparkSession, database: str, measurement: str) -> int:
+    """Carry out listed changes whose driver was lost, and drop those that had no list yet; gives the number of the former."""
+    if not exists(spark, database, measurement):
+        return 0
+    store, root, done = Files(spark), location(spark, database, measurement), 0
+    for name in store.folders(root, hidden=CHANGE):
+        if store.exists(f"{root}/{name}/{LISTED}"):
+            _carry_out(spark, database, measurement, f"{root}/{name}")
+            done += 1
+        else:
+            store.remove(f"{root}/{name}")
+    return done
+
+
+def _carry_out(spark: SparkSession, database: str, measurement: str, stage: str) -> None:
+    store = Files(spark)
+    change = json.loads(store.text(f"{stage}/{LISTED}"))
+    drop_days(spark, database, measurement, map(date.fromisoformat, change["whole"]))
+    have = {f"{DAY}={day}" for day in days_of(spark, database, measurement)}
+    for day, paths in change["gone"].items():
+        # A day that was dropped meanwhile takes no rows back.
+        if day not in have:
+            continue
+        for path in paths:
+            store.remove(path)
+        for part in store.names(f"{stage}/{day}", "part-"):
+            store.move(f"{stage}/{day}/{part}", f"{paths[0].rsplit('/', 1)[0]}/{part}")
+    spark.catalog.refreshTable(quoted(database, measurement))
+    store.remove(stage)
+
+
 def _folders(files: DataFrame) -> dict[date, list[str]]:
     """Folders by day, about one for each."""
     folder = F.regexp_replace("file_path", "/[^/]*$", "").alias("folder")

@@ -6,12 +6,13 @@ import re
 import time
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoloom.functions.timeunits import as_utc
-from chronoloom.operators.measurements import DAY, read, replace_days
+from chronoloom.operators.measurements import DAY, finish_changes, read, replace_files
 from chronoloom.session import shared_dir
 
 
@@ -28,7 +29,7 @@ class DeleteLimits:
 class DeleteResult:
     """What a delete did or, as a dry run, would do; ``files_processed`` is the report by file.
 
-    ``affected_files`` hold matching rows; ``rewritten_files`` are those whose other rows are written to new files.
+    ``affected_files`` hold matching rows; ``rewritten_files`` are those of them that hold others too, which go to new files.
     """
 
     success: bool
@@ -50,7 +51,7 @@ def check(database: str, measurement: str, where: str) -> None:
 
 
 _CLOCK = re.compile(
-    r"('(?:[^']|'')*')|\b(now\(\s*\)|current_timestamp(?:\(\s*\))?)|\b(current_date(?:\(\s*\))?|curdate\(\s*\))", re.I
+    r"('(?:[^']|'')*')|\b(now\(\s*\)|current_timestamp(?:\(\s*\))?)|\b(current_date(?:\(\s*\))?|curdate\(\s*\))|\b(localtimestamp(?:\(\s*\))?)", re.I
 )
 
 
@@ -61,7 +62,13 @@ def at_moment(where: str, as_of: datetime | date | str | None = None) -> str:
     """
     moment = datetime.now(timezone.utc) if as_of is None else as_of
     stamp = f"TIMESTAMP'{as_utc(moment).isoformat(sep=' ')}'"
-    return _CLOCK.sub(lambda m: m.group(1) or (stamp if m.group(2) else f"to_date({stamp})"), where)
+    return _CLOCK.sub(lambda m: m.group(1) or _stopped(m, stamp), where)
+
+
+def _stopped(found: re.Match, stamp: str) -> str:
+    if found.group(2):
+        return stamp
+    return f"to_date({stamp})" if found.group(3) else stamp.replace("TIMESTAMP", "TIMESTAMP_NTZ", 1)
 
 
 def survivors(rows: DataFrame, where: str | Column) -> DataFrame:
@@ -71,25 +78,28 @@ def survivors(rows: DataFrame, where: str | Column) -> DataFrame:
 
 
 def delete_report(spark: SparkSession, database: str, measurement: str, where: str) -> DataFrame:
-    """Files of days with matching rows: ``day, file_path, rows, matched, rewritten``.
+    """Files of days with matching rows, and what a delete does to each: ``day, file_path, rows, matched, rewritten, action``.
 
-    A day with matching rows is written anew: ``rewritten`` are its files that have rows to keep, whether or not any of
-    their own match; files whose rows all match are dropped. Matching rows are found with the predicate pushed
-    into the scan, so files and row groups without any are skipped; all rows are counted, from footers, only in the
-    days that were hit.
+    A file without matching rows is ``untouched``; one with nothing else is ``dropped``; the others are ``rewritten``.
+    Matching rows are found with the predicate pushed into the scan, so files and row groups without any are skipped; all rows
+    are counted, from footers, only in the days that were hit. A predicate that may be true of other rows each time it is read,
+    such as one with ``rand()``, is refused.
     """
     check(database, measurement, where)
     shared_dir(spark)
     rows = read(spark, database, measurement).select("*", F.col("_metadata.file_path").alias("_file"))
-    hits = rows.filter(F.expr(where)).groupBy(DAY, "_file").agg(F.count(F.lit(1)).alias("matched")).checkpoint()
+    matching = rows.filter(F.expr(where))
+    if not matching._jdf.queryExecution().analyzed().deterministic():
+        raise ValueError("the where clause does not mean the same rows each time")
+    hits = matching.groupBy(DAY, "_file").agg(F.count(F.lit(1)).alias("matched")).checkpoint()
     days = [row[DAY] for row in hits.select(DAY).distinct().collect()]
     totals = rows.filter(F.col(DAY).isin(days)).groupBy(DAY, "_file").agg(F.count(F.lit(1)).alias("rows"))
-    return totals.join(hits, [DAY, "_file"], "left").select(
-        DAY,
-        F.col("_file").alias("file_path"),
-        "rows",
-        F.coalesce("matched", F.lit(0)).alias("matched"),
-        (F.col("rows") > F.coalesce("matched", F.lit(0))).alias("rewritten"),
+    matched = F.coalesce("matched", F.lit(0))
+    action = F.when(matched == 0, "untouched").when(matched == F.col("rows"), "dropped").otherwise("rewritten")
+    return (
+        totals.join(hits, [DAY, "_file"], "left")
+        .select(DAY, F.col("_file").alias("file_path"), "rows", matched.alias("matched"), action.alias("action"))
+        .select(DAY, "file_path", "rows", "matched", (F.col("action") == "rewritten").alias("rewritten"), "action")
     )
 
 
@@ -105,14 +115,18 @@ def delete(
 ) -> DeleteResult:
     """Delete the rows for which ``where`` is true; a dry run only reports. ``now()`` in it means ``as_of``.
 
-    Only days with matching rows are read in full and written again; days left without rows are dropped. A delete
-    over ``max_rows_per_delete``, or over the threshold without ``confirm``, is refused before any write.
+    Only files with matching rows are read in full, and those with other rows too are written again; all other files stay as
+    and where they are, and days left without rows are dropped. The change is made whole or not at all (``replace_files``). A
+    delete over ``max_rows_per_delete``, or over the threshold without ``confirm``, is refused before any write. Names of the files
+    with matching rows, never their rows, come to the driver.
     """
     started = time.monotonic()
     check(database, measurement, where)
     if not limits.enabled:
         raise ValueError("delete is switched off")
     where = at_moment(where, as_of)
+    if not dry_run:
+        finish_changes(spark, database, measurement)
     # Kept, since it is read several times and has to outlast the files it was made from.
     report = delete_report(spark, database, measurement, where).checkpoint()
     by_day = (
@@ -132,11 +146,8 @@ def delete(
         if deleted > limits.confirmation_threshold and not confirm:
             raise ValueError(f"{deleted} rows match; pass confirm=True to delete over {limits.confirmation_threshold}")
         if deleted:
-            left = [row[DAY] for row in by_day if row.matched < row.rows]
-            rows = read(spark, database, measurement).filter(F.col(DAY).isin(left))
-            replace_days(
-                spark, database, measurement, survivors(rows, where), [row[DAY] for row in by_day], files=report
-            )
+            whole = {row[DAY] for row in by_day if row.matched == row.rows}
+            _rewrite(spark, database, measurement, where, report, whole)
     return DeleteResult(
         success=True,
         deleted_count=deleted,
@@ -144,5 +155,18 @@ def delete(
         rewritten_files=sum(row.rewritten for row in by_day),
         execution_time_ms=(time.monotonic() - started) * 1000,
         dry_run=dry_run,
-        files_processed=report.filter("matched > 0 OR rewritten"),
+        files_processed=report.filter("matched > 0"),
     )
+
+
+def _rewrite(spark: SparkSession, database: str, measurement: str, where: str, report: DataFrame, whole: set[date]) -> None:
+    """Carry out a report: ``whole`` days go, and of the others the files with matching rows, whose other rows are written again."""
+    hit = [row for row in report.filter("matched > 0").collect() if row[DAY] not in whole]
+    files: dict[date, list[str]] = {}
+    for row in hit:
+        files.setdefault(row[DAY], []).append(unquote(row.file_path))
+    mixed = [row for row in hit if row.rewritten]
+    # Days prune partitions, paths the files in them, so nothing else is opened.
+    inside = F.col(DAY).isin(sorted({row[DAY] for row in mixed})) & F.col("_metadata.file_path").isin([row.file_path for row in mixed])
+    rows = survivors(read(spark, database, measurement).filter(inside), where)
+    replace_files(spark, database, measurement, rows, sum(row.rows - row.matched for row in mixed), files, whole)

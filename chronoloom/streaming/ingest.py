@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from chronoloom.operators.files import Files
 from chronoloom.operators.measurements import COMPRESSION, DAY, aligned, check_columns, exists, prepare, quoted, with_day
 from chronoloom.plans.loading import loads_of
 from chronoloom.sources.lines import parse_lines, typed_rows
@@ -88,7 +89,7 @@ class BatchWriter:
         noted = (F.col("stream") == self.stream) & (F.col("batch") == batch)
         if not replayed(spark, self.database).filter(noted).isEmpty():
             return
-        stage, files = f"{self.folder}/batch-{batch}", _Files(spark)
+        stage, files = f"{self.folder}/batch-{batch}", Files(spark)
         if not files.exists(f"{stage}/_STAGED"):
             files.remove(stage)
             self._stage(rows, stage)
@@ -117,9 +118,9 @@ class BatchWriter:
                 target = f"{stage}/{name}"
                 part.hint("rebalance", DAY).write.partitionBy(DAY).option("compression", COMPRESSION).parquet(target)
                 total += spark.read.schema(part.schema).parquet(target).count()
-        _Files(spark).touch(f"{stage}/_ROWS-{total}")
+        Files(spark).touch(f"{stage}/_ROWS-{total}")
 
-    def _publish(self, spark: SparkSession, files: _Files, folder: str, name: str, batch: int) -> None:
+    def _publish(self, spark: SparkSession, files: Files, folder: str, name: str, batch: int) -> None:
         table = quoted(self.database, name)
         for day in files.folders(folder):
             spec = f"PARTITION ({DAY} = '{day.split('=', 1)[1]}')"
@@ -130,48 +131,6 @@ class BatchWriter:
         spark.catalog.refreshTable(table)
 
 
-class _Files:
-    """The few file operations of a batch, on whatever file system the folder is."""
-
-    def __init__(self, spark: SparkSession) -> None:
-        self.hadoop = spark._jvm.org.apache.hadoop.fs
-        self.conf = spark._jsc.hadoopConfiguration()
-
-    def _at(self, path: str) -> tuple[Any, Any]:
-        place = self.hadoop.Path(path)
-        return place.getFileSystem(self.conf), place
-
-    def exists(self, path: str) -> bool:
-        system, place = self._at(path)
-        return system.exists(place)
-
-    def _listed(self, path: str) -> list[Any]:
-        system, place = self._at(path)
-        return list(system.listStatus(place)) if system.exists(place) else []
-
-    def folders(self, path: str) -> list[str]:
-        return sorted(s.getPath().getName() for s in self._listed(path) if s.isDirectory() and s.getPath().getName()[0] not in "._")
-
-    def names(self, path: str, start: str) -> list[str]:
-        return sorted(s.getPath().getName() for s in self._listed(path) if s.isFile() and s.getPath().getName().startswith(start))
-
-    def touch(self, path: str) -> None:
-        system, place = self._at(path)
-        system.create(place, True).close()
-
-    def remove(self, path: str) -> None:
-        system, place = self._at(path)
-        system.delete(place, True)
-
-    def move(self, path: str, target: str) -> None:
-        system, place = self._at(path)
-        goal = self.hadoop.Path(target)
-        if not system.exists(goal.getParent()):
-            system.mkdirs(goal.getParent())
-        if not system.rename(place, goal):
-            raise RuntimeError(f"{path} could not be moved to {target}")
-
-
 def replayed(spark: SparkSession, database: str) -> DataFrame:
     """The ledger of micro-batches that are in their measurements: ``stream, batch, rows, committed``."""
     return spark.table(quoted(database, BATCHES)) if exists(spark, database, BATCHES) else spark.createDataFrame([], LEDGER)

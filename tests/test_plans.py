@@ -82,8 +82,8 @@ def test_delete_keeps_null_rows_and_drops_empty_days(spark, loaded):
     assert report.agg(F.sum("matched")).first()[0] == matched
     got = delete(spark, loaded, "events", where, dry_run=False)
     assert (got.deleted_count, got.dry_run) == (matched, False)
-    # One file goes whole; the odd one has no match, but its day is written anew, and it with it.
-    assert got.affected_files == got.rewritten_files
+    # The first day's one file goes whole, the odd row's file has no match and stays.
+    assert got.affected_files == got.rewritten_files + 1
     assert got.files_processed.agg(F.sum("matched")).first()[0] == matched
     after = store.read(spark, loaded, "events")
     assert same(after, want)
@@ -93,6 +93,93 @@ def test_delete_keeps_null_rows_and_drops_empty_days(spark, loaded):
     assert again.deleted_count == 0 and same(store.read(spark, loaded, "events"), want)
 
 
+def files_of(spark, database):
+    rows = store.read(spark, database, "events").select("day", F.col("_metadata.file_path").alias("path")).distinct()
+    return {(row.day, row.path) for row in rows.collect()}
+
+
+def three_files_a_day(spark, database):
+    table = spark.table(f"{database}.events")
+    for kind in ("a", "b"):
+        more = table.limit(0).drop("day").unionByName(
+            spark.range(48).selectExpr(
+                "TIMESTAMP'2024-01-02 00:00:00' + make_dt_interval(0, CAST(id AS INT)) AS time",
+                f"'{kind}' AS event_type", "CAST(id AS DOUBLE) AS value", "id AS user_id",
+            )
+        )
+        store.append(more.coalesce(1), database, "events")
+
+
+def test_delete_leaves_other_files_alone(spark, loaded):
+    three_files_a_day(spark, loaded)
+    before = files_of(spark, loaded)
+    where = "event_type = 'a' AND value < 30 OR event_type = 'b' AND day = '2024-01-03'"
+    report = {(r.action, r.rewritten) for r in delete_report(spark, loaded, "events", where).collect()}
+    assert report == {("untouched", False), ("dropped", False), ("rewritten", True)}
+    want = store.read(spark, loaded, "events").filter(f"NOT ({where})")
+    want = spark.createDataFrame(want.collect(), want.schema)
+    got = delete(spark, loaded, "events", where, dry_run=False)
+    # Day 2 loses all of a's file, day 3 a part of it and all of b's.
+    assert (got.deleted_count, got.affected_files, got.rewritten_files) == (30 + 24, 3, 1)
+    after = files_of(spark, loaded)
+    assert len(before - after) == 3 and len(after - before) == 1
+    assert same(store.read(spark, loaded, "events"), want)
+
+
+def test_a_lost_delete_is_finished_by_the_next_writer(spark, loaded, monkeypatch):
+    three_files_a_day(spark, loaded)
+    where = "event_type = 'a' AND value < 30 OR day = '2024-01-01'"
+    want = store.read(spark, loaded, "events").filter(f"NOT ({where})")
+    want = spark.createDataFrame(want.collect(), want.schema)
+    before, real, writes = files_of(spark, loaded), store._carry_out, store.Files.write
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    # Before the list is there, nothing has changed, and what was staged goes.
+    monkeypatch.setattr(store.Files, "write", lost)
+    with pytest.raises(KeyboardInterrupt):
+        delete(spark, loaded, "events", where, dry_run=False)
+    monkeypatch.setattr(store.Files, "write", writes)
+    assert files_of(spark, loaded) == before
+    root = store.location(spark, loaded, "events")
+    assert store.Files(spark).folders(root, hidden=store.CHANGE)
+    assert store.finish_changes(spark, loaded, "events") == 0
+    assert not store.Files(spark).folders(root, hidden=store.CHANGE) and files_of(spark, loaded) == before
+
+    # After it, the next append finishes the delete, even one that got half way.
+    monkeypatch.setattr(store, "_carry_out", lost)
+    with pytest.raises(KeyboardInterrupt):
+        delete(spark, loaded, "events", where, dry_run=False)
+    monkeypatch.setattr(store, "_carry_out", real)
+    monkeypatch.setattr(store.Files, "move", lost)
+    with pytest.raises(KeyboardInterrupt):
+        store.finish_changes(spark, loaded, "events")
+    monkeypatch.undo()
+    store.append(want.limit(0).drop("day"), loaded, "events")
+    assert same(store.read(spark, loaded, "events"), want)
+    assert store.finish_changes(spark, loaded, "events") == 0
+
+
+def test_rows_of_a_lost_delete_stay_out_of_a_dropped_day(spark, loaded, monkeypatch):
+    three_files_a_day(spark, loaded)
+    real = store._carry_out
+    monkeypatch.setattr(store, "_carry_out", lambda *_: None)
+    delete(spark, loaded, "events", "event_type = 'a' AND value < 30", dry_run=False)
+    monkeypatch.setattr(store, "_carry_out", real)
+    day = date(2024, 1, 3)
+    store.drop_days(spark, loaded, "events", [day])
+    again = spark.sql("SELECT TIMESTAMP'2024-01-03 01:00:00' AS time, 'new' AS event_type")
+    store.append(again, loaded, "events")
+    assert store.read(spark, loaded, "events").filter(F.col("day") == F.lit(day)).count() == 1
+
+
+@pytest.mark.parametrize("where", ["rand() < 0.5", "uuid() > 'a'", "value > 1 AND random() < value"])
+def test_delete_refuses_predicates_that_change(spark, loaded, where):
+    with pytest.raises(ValueError, match="same rows"):
+        delete(spark, loaded, "events", where, dry_run=False)
+
+
 def test_delete_all(spark, loaded):
     limits = DeleteLimits(confirmation_threshold=10)
     with pytest.raises(ValueError, match="confirm=True"):
@@ -114,6 +201,7 @@ def test_the_clock_stands_still_during_a_delete(spark, loaded):
         "d < to_date(TIMESTAMP'2024-01-10 05:00:00') AND t < TIMESTAMP'2024-01-10 05:00:00'"
     )
     assert "now" not in at_moment("t < now()")
+    assert at_moment("t < localtimestamp()", "2024-01-10") == "t < TIMESTAMP_NTZ'2024-01-10 00:00:00'"
     want = store.read(spark, loaded, "events").filter("time < '2024-01-09'").count()
     got = delete(spark, loaded, "events", "time < now() - INTERVAL '1 day'", dry_run=False, as_of="2024-01-10")
     assert got.deleted_count == want and store.days_of(spark, loaded, "events")[0] == date(2024, 1, 9)

@@ -414,6 +414,17 @@ def _cq_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(store.read(spark, database, "ticks_1h").drop("day"))
 
 
+def _cq_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results after rows came for buckets that had been covered."""
+    database = _database(configure(spark))
+    rows = _events(spark, sf_dir, "event_type", "value")
+    late = (F.col("event_type") == "error") & (F.col("time") < F.lit("2024-01-10").cast("timestamp"))
+    for part in (rows.filter(~late), rows.filter(late)):
+        store.append(part, database, "ticks", tags=["event_type"])
+        continuous.run_pending(spark, _hourly(database), "2024-01-20 17:30:00")
+    return _shown(store.read(spark, database, "ticks_1h").drop("day"))
+
+
 def _cq_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _loaded(spark, sf_dir)
     query = _hourly(database)
@@ -631,6 +642,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cq_run": _cq_run,
         "cq_two_halves": _cq_two_halves,
         "cq_pending": _cq_pending,
+        "cq_late_rows": _cq_late_rows,
         "cq_history": _cq_history,
         "cq_tiered": _cq_tiered,
         "delete_survivors": _delete_survivors,
@@ -740,6 +752,7 @@ def oracle_sql() -> dict[str, str]:
         "cq_run": with_day(hourly("ts >= TIMESTAMP '2024-01-03 00:00:00' AND ts < TIMESTAMP '2024-01-20 06:00:00'")),
         "cq_two_halves": hourly(),
         "cq_pending": hourly("ts < TIMESTAMP '2024-01-20 17:00:00'"),
+        "cq_late_rows": hourly("ts < TIMESTAMP '2024-01-20 17:00:00'"),
         "cq_history": " UNION ALL ".join(
             f"""SELECT CAST(1 AS BIGINT) AS query_id, 'completed' AS status, TIMESTAMP '{end}' AS end_time,
             (SELECT count(*) FROM events WHERE {where}) AS records_read,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -50,6 +51,11 @@ class Files:
         if not system.rename(place, goal):
             raise RuntimeError(f"{path} could not be moved to {target}")
 
+    def renew(self, path: str) -> None:
+        """Make now the time of a file, where the file system keeps times."""
+        system, place = self._at(path)
+        system.setTimes(place, int(time.time() * 1000), -1)
+
     def write(self, path: str, text: str) -> None:
         """A small file that is there whole or not at all."""
         system, place = self._at(f"{path}.new")

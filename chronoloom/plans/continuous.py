@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoloom.functions.buckets import bucket_end, bucket_start
-from chronoloom.functions.timeunits import as_utc, instant
+from chronoloom.functions.timeunits import as_utc, instant, now_micros
 from chronoloom.operators import measurements as store
 from chronoloom.operators.measurements import DAY, current_database, time_range
-from chronoloom.plans.history import QUERY_RUNS, record, runs
+from chronoloom.plans.history import QUERY_RUNS, QUERY_STATE, record, runs
 from chronoloom.plans.retention import RetentionPolicy, RetentionResult, run_retention
 
 Moment = datetime | date | str
@@ -141,8 +141,11 @@ def covered_range(
     if query.delete_source_after_days is not None:
         # Results over source days that a tier has dropped cannot be worked out again, so they stay as they are.
         days = store.days_of(spark, query.database, query.source_measurement)
-        if days:
-            low = max(low, _bound(spark, widths, datetime.combine(days[0], datetime.min.time()), bucket_start))
+        kept = [datetime.combine(day, datetime.min.time()) for day in days[:1]]
+        # A late row may have brought a dropped day back, without the rows that it had.
+        kept += [dropped for dropped in [_state(spark, query)[1]] if dropped is not None]
+        if kept:
+            low = max(low, _bound(spark, widths, max(kept), bucket_start))
     return (low, high) if low < high else None
 
 
@@ -254,12 +257,65 @@ def replace_range(
     return time_range(store.read(spark, database, measurement), low, high).count()
 
 
+def _state(spark: SparkSession, query: ContinuousQuery) -> tuple[int | None, datetime | None]:
+    """Up to which file time late rows were looked for, and before when the source has been dropped."""
+    if not store.exists(spark, query.database, QUERY_STATE):
+        return None, None
+    noted = spark.table(store.quoted(query.database, QUERY_STATE)).filter(F.col("query_id") == query.id)
+    return tuple(noted.agg(F.max("checked_until"), F.max("dropped_before").cast("timestamp_ntz")).first())
+
+
+def _first_start(spark: SparkSession, query: ContinuousQuery) -> int | None:
+    """When the first completed run of the history began, in microseconds."""
+    if not store.exists(spark, query.database, QUERY_RUNS):
+        return None
+    done = spark.table(store.quoted(query.database, QUERY_RUNS)).filter(
+        (F.col("query_id") == query.id) & (F.col("status") == "completed")
+    )
+    began = F.unix_micros("execution_time") - F.ceil(F.col("execution_duration_seconds") * 1_000_000)
+    return done.agg(F.min(began).alias("began")).first().began
+
+
+def late_ranges(spark: SparkSession, query: ContinuousQuery) -> list[tuple[datetime, datetime]]:
+    """Ranges of source times below the mark with rows in files that came since late rows were last looked for.
+
+    Days prune partitions and file times prune files, so only new files that may hold rows below the mark are opened, for their
+    times alone. Files that deletes wrote count as new. Days that a tier has dropped are left out, as their results cannot
+    be worked out again. Times of files and of the driver are compared, so their clocks have to agree; files of an append that was
+    still running when the rows were looked for may be missed.
+    """
+    mark = mark_of(spark, query)
+    checked, dropped = _state(spark, query)
+    since = checked if checked is not None else _first_start(spark, query)
+    if mark is None or since is None or not store.exists(spark, query.database, query.source_measurement):
+        return []
+    rows = time_range(store.read(spark, query.database, query.source_measurement), dropped, mark)
+    rows = rows.filter(F.col("_metadata.file_modification_time") >= F.timestamp_millis(F.lit(since // 1000)))
+    edges = [f("time").cast("timestamp_ntz").alias(name) for f, name in ((F.min, "low"), (F.max, "high"))]
+    out: list[tuple[datetime, datetime]] = []
+    for row in rows.groupBy(DAY).agg(*edges).orderBy(DAY).collect():
+        if out and out[-1][1].date() >= row[DAY] - timedelta(days=1):
+            out[-1] = out[-1][0], row.high + timedelta(microseconds=1)
+        else:
+            out.append((row.low, row.high + timedelta(microseconds=1)))
+    return out
+
+
 def run_pending(spark: SparkSession, query: ContinuousQuery, as_of: Moment) -> QueryRun | None:
-    """One turn of the schedule: cover all whole buckets from the mark to ``as_of``; inactive queries rest.
+    """One turn of the schedule: cover the buckets that late rows fell into again, then all whole buckets from the mark to ``as_of``.
 
-    However many intervals were missed, they are one job.
+    However many intervals were missed, they are one job. Inactive queries rest. Gives the last run, None if there was none.
     """
-    return run_query(spark, query, as_of=as_of) if query.is_active else None
+    if not query.is_active:
+        return None
+    moment, run = now_micros(), None
+    for low, high in late_ranges(spark, query):
+        run = run_query(spark, query, low, high) or run
+    run = run_query(spark, query, as_of=as_of) or run
+    # Noted last: a turn that dies looks for the same rows again.
+    if run is not None:
+        record(spark, query.database, QUERY_STATE, query_id=query.id, checked_until=moment)
+    return run
 
 
 def query_runs(spark: SparkSession, query: ContinuousQuery, limit: int = 50) -> DataFrame:
@@ -280,7 +336,13 @@ def apply_tiers(
     mark = mark_of(spark, query)
     if query.delete_source_after_days is not None and mark is not None:
         age = timedelta(days=query.delete_source_after_days)
-        until = min(moment, mark + age)
+        # Days with late rows wait for the run that covers them again.
+        read_until = min([mark, *[low for low, _ in late_ranges(spark, query)]])
+        until = min(moment, read_until + age)
+        if not dry_run and confirm:
+            # Noted first: rows that come later for these days are not taken for whole days.
+            cutoff = datetime.combine((until - age).date(), datetime.min.time())
+            record(spark, query.database, QUERY_STATE, query_id=query.id, dropped_before=cutoff)
         out["source"] = _tier(
             spark, query, query.source_measurement, until, query.delete_source_after_days, dry_run, confirm
         )

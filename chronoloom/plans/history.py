@@ -15,6 +15,7 @@ from chronoloom.operators.measurements import exists, quoted
 # Names begin with an underscore, which keeps them out of the measurements.
 QUERY_RUNS = "_query_runs"
 RETENTION_RUNS = "_retention_runs"
+QUERY_STATE = "_query_state"
 
 SCHEMAS = {
     QUERY_RUNS: "id bigint, query_id bigint, execution_id string, execution_time timestamp, status string, "
@@ -22,15 +23,17 @@ SCHEMAS = {
     "execution_duration_seconds double, error_message string",
     RETENTION_RUNS: "id bigint, policy_id bigint, execution_time timestamp, status string, deleted_count bigint, "
     "files_deleted bigint, cutoff_date timestamp, execution_duration_ms double, error_message string",
+    # Up to which file time, in microseconds, a continuous query has looked for late rows, and before when its source has been dropped.
+    QUERY_STATE: "id bigint, query_id bigint, execution_time timestamp, checked_until bigint, dropped_before timestamp",
 }
 
 
 def record(spark: SparkSession, database: str, table: str, **values: Any) -> None:
     """Append one run. Datetimes are naive UTC."""
+    now = now_micros()
     name = quoted(database, table)
     if not exists(spark, database, table):
         spark.sql(f"CREATE TABLE {name} ({SCHEMAS[table]}) USING parquet")
-    now = now_micros()
     known = {"id": now, "execution_id": uuid4().hex, **values}
     columns = [part.strip().split(" ") for part in SCHEMAS[table].split(",")]
     # Times go in as text, which the session reads as UTC whatever the zone of the driver.

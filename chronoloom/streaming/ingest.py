@@ -127,7 +127,9 @@ class BatchWriter:
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec}")
             place = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").filter("col_name = 'Location'").first().data_type
             for part in files.names(f"{folder}/{day}", "part-"):
-                files.move(f"{folder}/{day}/{part}", f"{place.rstrip('/')}/{self.stream}-{batch}-{part}")
+                target = f"{place.rstrip('/')}/{self.stream}-{batch}-{part}"
+                files.move(f"{folder}/{day}/{part}", target)
+                files.renew(target)
         spark.catalog.refreshTable(table)
 
 

@@ -10,6 +10,7 @@ from chronoloom.plans.continuous import (
     ContinuousQuery,
     apply_tiers,
     covered_range,
+    late_ranges,
     mark_of,
     over_range,
     query_runs,
@@ -372,3 +373,49 @@ def test_gap_is_filled_and_kept(spark, database, events):
     assert days[0] < left[0]
     continuous.run_query(spark, query, "2024-01-03", "2024-01-28")
     assert store.read(spark, database, "two").count() == before
+
+
+def late(spark, database, *times):
+    table = spark.table(f"{database}.events").drop("day")
+    rows = ", ".join(f"(TIMESTAMP'{t}', 'late', 1000.0D)" for t in times)
+    more = spark.sql(f"SELECT * FROM VALUES {rows} AS t(time, event_type, value)")
+    store.append(table.limit(0).unionByName(more, allowMissingColumns=True), database, "events")
+
+
+def test_late_rows_are_covered_again(spark, loaded):
+    query = cq(loaded)
+    first = run_pending(spark, query, "2024-01-20T00:00:00")
+    assert first.end_time == datetime(2024, 1, 20) and late_ranges(spark, query) == []
+    assert run_pending(spark, query, "2024-01-20T00:30:00") is None
+    # Two near days, one alone, and rows beyond the mark, which are not late.
+    late(spark, loaded, "2024-01-05 03:10:00", "2024-01-06 04:00:00", "2024-01-11 10:20:00", "2024-01-25 00:00:00")
+    assert late_ranges(spark, query) == [
+        (datetime(2024, 1, 5, 3, 10), datetime(2024, 1, 6, 4, 0, 0, 1)),
+        (datetime(2024, 1, 11, 10, 20), datetime(2024, 1, 11, 10, 20, 0, 1)),
+    ]
+    again = run_pending(spark, query, "2024-01-20T00:30:00")
+    assert (again.start_time, again.end_time) == (datetime(2024, 1, 11, 10), datetime(2024, 1, 11, 11))
+    want = run_sql(spark, SQL.format(loaded)).filter("time < '2024-01-20'")
+    assert same(rounded(store.read(spark, loaded, "events_1h")), rounded(want))
+    assert late_ranges(spark, query) == [] and run_pending(spark, query, "2024-01-20T00:30:00") is None
+    third = run_pending(spark, query, "2024-01-21")
+    assert (third.start_time, third.end_time) == (datetime(2024, 1, 20), datetime(2024, 1, 21))
+
+
+def test_tiers_wait_for_late_rows(spark, loaded):
+    query = cq(loaded, delete_source_after_days=3)
+    run_pending(spark, query, "2024-01-20")
+    late(spark, loaded, "2024-01-10 03:10:00")
+    apply_tiers(spark, query, "2024-01-20", dry_run=False, confirm=True)
+    assert store.days_of(spark, loaded, "events")[0] == date(2024, 1, 10)
+    run_pending(spark, query, "2024-01-20")
+    results = store.read(spark, loaded, "events_1h")
+    assert results.filter("event_type = 'late'").count() == 1
+    apply_tiers(spark, query, "2024-01-20", dry_run=False, confirm=True)
+    assert store.days_of(spark, loaded, "events")[0] == date(2024, 1, 17)
+    # A row for a dropped day cannot change results that its other rows are in.
+    before = store.read(spark, loaded, "events_1h").count()
+    late(spark, loaded, "2024-01-05 03:10:00")
+    assert late_ranges(spark, query) == []
+    run_pending(spark, query, "2024-01-21")
+    assert store.read(spark, loaded, "events_1h").filter("time < '2024-01-20'").count() == before

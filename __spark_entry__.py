@@ -35,7 +35,7 @@ from chronoloom.sources.frames import table_rows  # noqa: E402
 from chronoloom.sources.lines import parse_lines, read_lines, typed_rows  # noqa: E402
 from chronoloom.sources.records import record_rows  # noqa: E402
 from chronoloom.streaming.ingest import expose, ingested, into_measurement, start_ingest, stream_points  # noqa: E402
-from chronoloom.streaming.rollup import rollup  # noqa: E402
+from chronoloom.streaming.rollup import rollup, rollup_into  # noqa: E402
 
 LLM = importlib.util.find_spec("chronoloom.llm") is not None and importlib.util.find_spec("corpus_pipeline") is not None
 
@@ -586,6 +586,20 @@ def _stream_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(kept[0].unionByName(kept[1]).drop("day"))
 
 
+def _stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets that three micro-batches keep up to date; rows of the later ones fall into buckets that are there already."""
+    folder, database = _folder(configure(spark)), _database(spark)
+    rows = _table(spark, sf_dir, "events").select("ts", "event_id", "event_type", "value")
+    for part in range(3):
+        rows.filter(F.pmod("event_id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    aggregates = [F.count(F.lit(1)).alias("n"), F.max("value").alias("top")]
+    rows = table_rows(stream, "ts")
+    options = {"checkpoint": f"{folder}/mark", "late": "60 days", "once": True}
+    rollup_into(rows, database, "ticks_1h", "1 hour", ["event_type"], aggregates, **options).awaitTermination()
+    return _shown(store.read(spark, database, "ticks_1h").drop("day"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Load events as a measurement, then downsample it by SQL."""
     database = _loaded(spark, "/root/testdata/sf0.001")
@@ -656,6 +670,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_downsample": _stream_downsample,
         "stream_sql": _stream_sql,
         "stream_measurement": _stream_measurement,
+        "stream_rollup": _stream_rollup,
     } | (_llm_queries() if LLM else {})
 
 
@@ -790,6 +805,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_measurement": f"""SELECT * FROM ({hourly(f"NOT {doomed}")}) WHERE time >= TIMESTAMP '2024-01-19 00:00:00'
             UNION ALL SELECT ts, event_type, value, CAST(NULL AS DOUBLE) FROM events
             WHERE NOT {doomed} AND ts >= TIMESTAMP '2024-01-19 00:00:00'""",
+        "stream_rollup": "SELECT time_bucket(INTERVAL '1 hour', ts) AS time, event_type, count(*) AS n, max(value) AS top "
+        "FROM events GROUP BY 1, 2",
         "stream_sql": "SELECT time_bucket(INTERVAL '1 day', ts) AS time, max(value) AS top, count(*) AS n "
         "FROM events WHERE event_type = 'purchase' GROUP BY 1",
     } | (_llm_sql() if LLM else {})

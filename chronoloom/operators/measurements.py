@@ -231,6 +231,22 @@ def replace_days(
     return written
 
 
+def upsert(spark: SparkSession, database: str, measurement: str, rows: DataFrame, keys: Sequence[str]) -> None:
+    """Put rows, one for each time and ``keys``, in the place of those with the same time and keys; other rows stay.
+
+    Nulls among the keys are alike. Only the days of the new rows are read and written, and their keys alone are shuffled with them.
+    The new rows are read twice, so they should be a table. ``keys`` become tags.
+    """
+    new = with_day(rows)
+    prepare(spark, new, database, measurement, keys)
+    days = [row[DAY] for row in new.select(DAY).distinct().collect()]
+    old = read(spark, database, measurement).filter(F.col(DAY).isin(days))
+    spots = new.select(DAY, "time", *[quoted(k) for k in keys]).alias("spots")
+    same = [F.col(f"old.{quoted(k)}").eqNullSafe(F.col(f"spots.{quoted(k)}")) for k in (DAY, "time", *keys)]
+    kept = old.alias("old").join(spots, reduce(Column.__and__, same), "left_anti")
+    replace_days(spark, database, measurement, kept.unionByName(new, allowMissingColumns=True), days, cluster=True)
+
+
 # Folders of changes to single files; readers pass over names that begin so.
 CHANGE = "_change-"
 LISTED = "_LIST"

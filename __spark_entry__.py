@@ -26,7 +26,7 @@ from chronoloom.operators import measurements as store  # noqa: E402
 from chronoloom.operators.lines_out import record_lines, table_lines, write_lines  # noqa: E402
 from chronoloom.operators.merge import rows_per_measurement, sparse_merge  # noqa: E402
 from chronoloom.operators.results import epoch_rows, row_counts, run_sql  # noqa: E402
-from chronoloom.plans import continuous, deletion, retention  # noqa: E402
+from chronoloom.plans import compaction, continuous, deletion, retention  # noqa: E402
 from chronoloom.plans.loading import append_each, append_lines  # noqa: E402
 from chronoloom.session import shared_dir  # noqa: E402
 from chronoloom.sources.batches import batch_rows  # noqa: E402
@@ -537,6 +537,17 @@ def _retention_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(retention.retention_runs(spark, _policy(database)).select("policy_id", "status", "deleted_count", "cutoff_date"))
 
 
+def _compacted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By day, rows and files of a measurement that five appends have filled, once its closed days are compacted."""
+    database = _database(configure(spark))
+    rows = _events(spark, sf_dir, "event_id", "event_type", "value")
+    for part in range(5):
+        store.append(rows.filter(F.pmod("event_id", F.lit(5)) == part), database, "ticks", tags=["event_type"], cluster=True)
+    compaction.compact(spark, database, "ticks", "2024-01-20")
+    days = store.rows_and_files(store.read(spark, database, "ticks"))
+    return days.select("day", "rows", (F.col("files") == 1).alias("compact"))
+
+
 # Streams
 
 
@@ -666,6 +677,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retention_plan": _retention_plan,
         "retention_survivors": _retention_survivors,
         "retention_history": _retention_history,
+        "compacted_days": _compacted_days,
         "stream_ingest": _stream_ingest,
         "stream_downsample": _stream_downsample,
         "stream_sql": _stream_sql,
@@ -797,6 +809,8 @@ def oracle_sql() -> dict[str, str]:
         "retention_history": """SELECT CAST(7 AS BIGINT) AS policy_id, 'completed' AS status,
             (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-19 00:00:00') * first AS deleted_count,
             TIMESTAMP '2024-01-19 00:00:00' AS cutoff_date FROM (VALUES (1), (0)) v(first)""",
+        "compacted_days": """SELECT CAST(ts AS DATE) AS day, count(*) AS rows, min(ts) < TIMESTAMP '2024-01-20 00:00:00'
+            OR count(DISTINCT event_id % 5) = 1 AS compact FROM events GROUP BY 1""",
         "stream_ingest": rows,
         "stream_downsample": """SELECT time_bucket(INTERVAL '1 hour', ts) AS time, event_type, count(*) AS n,
             max(value) AS top FROM events GROUP BY 1, 2

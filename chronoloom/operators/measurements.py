@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoloom.functions.timeunits import as_utc, instant
+from chronoloom.functions.timeunits import as_utc, instant, now_micros
 from chronoloom.operators.files import Files
 from chronoloom.session import settings
 
@@ -324,9 +324,66 @@ def _folders(files: DataFrame) -> dict[date, list[str]]:
 
 def drop_days(spark: SparkSession, database: str, measurement: str, days: Iterable[date]) -> None:
     """Drop whole days in one statement; files go, none is read or rewritten."""
-    specs = ", ".join(f"PARTITION ({DAY} = '{day}')" for day in sorted(days))
+    days = sorted(days)
+    specs = ", ".join(f"PARTITION ({DAY} = '{day}')" for day in days)
     if specs:
         spark.sql(f"ALTER TABLE {quoted(database, measurement)} DROP IF EXISTS {specs}")
+        # A day that comes back later must not find the files it had before a compaction.
+        sweep(spark, database, measurement, days=days)
+
+
+# Hidden folders, one a compaction, that list the folders it put out of use; their names end in the second of that.
+RETIRED = "_retired-"
+
+
+def retire(spark: SparkSession, database: str, measurement: str, folders: dict[date, list[str]]) -> None:
+    """Note folders of days that are out of use, for ``sweep`` to remove when no reader needs them any more."""
+    name = f"{RETIRED}{uuid4().hex}-{now_micros() // 1_000_000}"
+    listed = {day.isoformat(): paths for day, paths in folders.items()}
+    Files(spark).write(f"{location(spark, database, measurement)}/{name}/{LISTED}", json.dumps(listed))
+
+
+def sweep(
+    spark: SparkSession,
+    database: str,
+    measurement: str,
+    older_than: timedelta = timedelta(),
+    days: Iterable[date] | None = None,
+) -> int:
+    """Remove folders that were put out of use ``older_than`` ago, of all days or of those given; gives their number.
+
+    A folder that the catalogue names again for its day is left. A sweep that dies is taken up by the next one.
+    """
+    store, root, removed = Files(spark), location(spark, database, measurement), 0
+    names = store.folders(root, hidden=RETIRED)
+    wanted = None if days is None else {day.isoformat() for day in days}
+    for name in names:
+        if int(name.rsplit("-", 1)[1]) > now_micros() // 1_000_000 - older_than.total_seconds():
+            continue
+        listed = json.loads(store.text(f"{root}/{name}/{LISTED}"))
+        due = [day for day in listed if wanted is None or day in wanted]
+        places = set(locations(spark, database, measurement).values()) if due else set()
+        for path in [path for day in due for path in listed[day] if path.rstrip("/") not in places]:
+            remove(spark, path, root)
+            removed += 1
+        if len(due) == len(listed):
+            store.remove(f"{root}/{name}")
+    return removed
+
+
+def locations(spark: SparkSession, database: str, measurement: str) -> dict[date, str]:
+    """Folder of each day, from the catalogue alone."""
+    catalogue = spark._jsparkSession.sessionState().catalog()
+    identifier = spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(quoted(database, measurement))
+    found = catalogue.listPartitions(identifier, spark._jvm.scala.Option.empty())
+    parts = [found.apply(i) for i in range(found.size())]
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return {date.fromisoformat(p.spec().apply(DAY)): path(p.location()).toString() for p in parts}
+
+
+def encoded(spark: SparkSession, path: str) -> str:
+    """A path as file names of rows have it, with its special characters encoded."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
 
 
 def rows_and_files(df: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from chronoloom.operators import measurements as store
 from chronoloom.operators.results import run_sql
-from chronoloom.plans import continuous
+from chronoloom.plans import compaction, continuous
+from chronoloom.plans.compaction import compact, compaction_plan
 from chronoloom.plans.continuous import (
     ContinuousQuery,
     apply_tiers,
@@ -419,3 +420,93 @@ def test_tiers_wait_for_late_rows(spark, loaded):
     assert late_ranges(spark, query) == []
     run_pending(spark, query, "2024-01-21")
     assert store.read(spark, loaded, "events_1h").filter("time < '2024-01-20'").count() == before
+
+
+def test_retention_plan_is_one_scan_however_many_policies(spark, database):
+    for name in ("cpu", "mem"):
+        for start in (1, 5):
+            rows = spark.sql(f"SELECT timestamp'2024-01-0{start} 12:00:00' + make_interval(0, 0, 0, id % 3) AS time, id FROM range(30)")
+            store.append(rows, database, name)
+    spark.sql(f"CREATE TABLE {database}._notes (x int) USING parquet")
+
+    def policy(number, measurement=None, days=3):
+        return RetentionPolicy(number, f"p{number}", database, days, measurement, buffer_days=0)
+
+    few = [policy(1, "cpu"), policy(2, days=1)]
+    got = retention_plan(spark, few, "2024-01-06")
+    rows = sorted((r.policy_id, r.measurement, r.day.day, r.rows, r.files > 0) for r in got.collect())
+    want = [(1, "cpu", d, 10, True) for d in (1, 2)] + [(2, m, d, 10, True) for m in ("cpu", "mem") for d in (1, 2, 3)]
+    assert rows == want
+
+    def nodes(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+    many = retention_plan(spark, [policy(n, days=n % 5) for n in range(60)], "2024-01-06")
+    assert nodes(many) == nodes(got)
+    assert retention_plan(spark, [policy(1, days=900)], "2024-01-06").isEmpty()
+    # Days that were replaced lie in other folders.
+    store.replace_days(spark, database, "cpu", store.read(spark, database, "cpu").filter("id < 15"), [date(2024, 1, 1), date(2024, 1, 2)])
+    assert sorted((r.day.day, r.rows) for r in retention_plan(spark, few[:1], "2024-01-06").collect()) == [(1, 5), (2, 5)]
+
+
+# compaction
+
+
+def fill(spark, database, parts, day="2024-01-01"):
+    for part in range(parts):
+        rows = spark.sql(f"SELECT timestamp'{day} 00:00:00' + make_dt_interval(0, 0, id, {part}) AS time, 'h' || id % 2 AS host, id + {part} AS v FROM range(20)")
+        store.append(rows.coalesce(1), database, "cpu", tags=["host"])
+
+
+def test_compaction_bounds_files_and_keeps_rows(spark, database):
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        fill(spark, database, 4, day)
+    before = store.read(spark, database, "cpu").collect()
+    begun = store.read(spark, database, "cpu")
+    begun.count()
+    assert compact(spark, database, "cpu", "2024-01-03T10:00:00", dry_run=True).files_after == 2
+    done = compact(spark, database, "cpu", "2024-01-03T10:00:00")
+    assert [d.day for d in done.days] == [1, 2] and (done.rows, done.files_before, done.files_after) == (160, 8, 2)
+    files = {r["day"].day: r["files"] for r in store.rows_and_files(store.read(spark, database, "cpu")).collect()}
+    assert files == {1: 1, 2: 1, 3: 4}
+    after = store.read(spark, database, "cpu").collect()
+    assert sorted(map(repr, after)) == sorted(map(repr, before))
+    # A query that had begun still finds its files, until they are swept.
+    assert sorted(map(repr, begun.collect())) == sorted(map(repr, before))
+    again = compact(spark, database, "cpu", "2024-01-03T10:00:00")
+    assert again.days == [] and again.swept == 0
+    assert compact(spark, database, "cpu", "2024-01-03", grace=timedelta(0)).swept == 2
+    assert store.read(spark, database, "cpu").count() == 240
+    # Late rows go to the new folder, and the day is compacted again.
+    fill(spark, database, 1)
+    assert compact(spark, database, "cpu", "2024-01-03", grace=timedelta(0)).rows == 100
+
+
+def test_compaction_gives_a_heavy_day_several_files(spark, database):
+    fill(spark, database, 6)
+    bytes_of = compaction_plan(spark, database, "cpu", "2024-02-01").first()["bytes"]
+    done = compact(spark, database, "cpu", "2024-02-01", file_bytes=bytes_of // 3 + 1)
+    # Two parts of a day may fall to one task, which then writes one file.
+    assert (done.files_before, done.rows) == (6, 120) and 1 < done.files_after <= 3
+    assert store.read(spark, database, "cpu").count() == 120
+
+
+def test_dropped_day_does_not_find_its_old_files_again(spark, database):
+    fill(spark, database, 3)
+    compact(spark, database, "cpu", "2024-02-01")
+    store.drop_days(spark, database, "cpu", store.days_of(spark, database, "cpu"))
+    fill(spark, database, 1)
+    assert store.read(spark, database, "cpu").count() == 20
+    assert store.sweep(spark, database, "cpu") == 0
+    assert store.read(spark, database, "cpu").count() == 20
+
+
+def test_compaction_that_died_is_swept(spark, database, monkeypatch):
+    fill(spark, database, 3)
+    with monkeypatch.context() as patch:
+        patch.setattr(compaction, "locations", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            compact(spark, database, "cpu", "2024-02-01")
+    assert store.read(spark, database, "cpu").count() == 60
+    done = compact(spark, database, "cpu", "2024-02-01", grace=timedelta(0))
+    assert (done.swept, done.files_after) == (1, 1) and store.read(spark, database, "cpu").count() == 60

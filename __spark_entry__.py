@@ -26,6 +26,7 @@ from chronoloom.operators import measurements as store  # noqa: E402
 from chronoloom.operators.lines_out import record_lines, table_lines, write_lines  # noqa: E402
 from chronoloom.operators.merge import rows_per_measurement, sparse_merge  # noqa: E402
 from chronoloom.operators.results import epoch_rows, row_counts, run_sql  # noqa: E402
+from chronoloom.operators.statistics import merged_statistics, refresh_statistics  # noqa: E402
 from chronoloom.plans import compaction, continuous, deletion, retention  # noqa: E402
 from chronoloom.plans.loading import append_each, append_lines  # noqa: E402
 from chronoloom.session import shared_dir  # noqa: E402
@@ -168,6 +169,18 @@ def _estimate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts(spark.sql(HOURLY.format(source="{events}"), events=events))
 
 
+def _estimate_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What estimates are made of: statistics of days, of which some are taken again after a second load, merged."""
+    database = _database(configure(spark))
+    rows = _events(spark, sf_dir, "event_id", "event_type", "user_id", "value")
+    for part in (F.col("time") < F.lit("2024-01-16 12:00:00"), F.col("time") >= F.lit("2024-01-16 12:00:00")):
+        store.append(rows.filter(part), database, "ticks", tags=["event_type"])
+        refresh_statistics(spark, database, "ticks")
+    bounded = F.col("column").isin("time", "event_id", "user_id")
+    low, high = (F.when(bounded, F.col(name)).alias(name) for name in ("low", "high"))
+    return merged_statistics(spark, database, "ticks").select("column", "rows", "nulls", low, high)
+
+
 def _measurement_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _database(configure(spark))
     rows = _events(spark, sf_dir, "event_type", "value").withColumnRenamed("event_type", "measurement")
@@ -649,6 +662,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tag_avg_max": _tag_avg_max,
         "result_envelope": _result_envelope,
         "estimate_rows": _estimate_rows,
+        "estimate_statistics": _estimate_statistics,
         "measurement_stats": _measurement_stats,
         "catalogue": _catalogue,
         "columnar_roundtrip": _columnar_roundtrip,
@@ -739,6 +753,16 @@ def oracle_sql() -> dict[str, str]:
         "tag_avg_max": "SELECT event_type, round(avg(value), 6) AS value, max(user_id) AS top_user "
         "FROM events GROUP BY event_type",
         "result_envelope": "SELECT epoch_us(ts) AS time, event_id, event_type, value FROM events",
+        "estimate_statistics": " UNION ALL ".join(
+            f"""SELECT '{column}' AS "column", count(*) AS rows, count(*) - count({of}) AS nulls, {low} AS low, {high} AS high FROM events"""
+            for column, of, low, high in [
+                ("time", "ts", "strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f')", "strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f')"),
+                ("event_id", "event_id", "CAST(min(event_id) AS VARCHAR)", "CAST(max(event_id) AS VARCHAR)"),
+                ("user_id", "user_id", "CAST(min(user_id) AS VARCHAR)", "CAST(max(user_id) AS VARCHAR)"),
+                ("event_type", "event_type", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+                ("value", "value", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+            ]
+        ),
         "estimate_rows": f"""SELECT n AS estimated_rows, CASE WHEN n >= 1000000 THEN 'high' WHEN n >= 100000 THEN 'medium'
             WHEN n >= 10000 THEN 'low' ELSE 'none' END AS warning_level FROM (SELECT count(*) AS n FROM ({hourly()}))""",
         "measurement_stats": "SELECT event_type AS measurement, count(*) AS rows, true AS files_agree, "

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from chronoloom.operators.measurements import current_database
 from chronoloom.operators.pruning import pruned_sql
+from chronoloom.operators.statistics import estimated_rows
 from chronoloom.session import settings
 
 # Levels of an estimate and the row count each begins at.
@@ -84,14 +85,16 @@ def row_counts(df: DataFrame, levels: Sequence[tuple[str, int]] = LEVELS) -> Dat
 def estimate(
     spark: SparkSession, sql: str, database: str | None = None, levels: Sequence[tuple[str, int]] = LEVELS
 ) -> dict[str, Any]:
-    """Rows a query would return: from the optimizer's statistics if it has them, else by a count."""
+    """Rows a query would return: from the statistics that ``refresh_statistics`` keeps or the optimizer has, else by a count."""
     if not sql or not sql.strip():
         raise ValueError("SQL query cannot be empty")
     started = time.monotonic()
     out: dict[str, Any] = {"success": True, "estimated_rows": None, "warning_level": "none", "error": None}
     try:
         df = run_sql(spark, sql, database)
-        rows = _planned_rows(spark, sql, database)
+        rows = estimated_rows(spark, df)
+        if rows is None:
+            rows = _planned_rows(spark, sql, database)
         if rows is None:
             rows = row_counts(df, levels).first().estimated_rows
         name, least = [level for level in levels if rows >= level[1]][-1]

@@ -1,13 +1,14 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
 Texts are cut by the tokenizer's pattern into *words*. Merging is done on distinct words: a higher-order fold takes the
-array of a word's byte ids and, step by step, joins the leftmost pair of least rank, with the rank map as one literal of
-the plan. The map is laid out in two arrays where a pair has one place in each, as Spark's own map type is searched from
-end to end. Ids of documents are gathered from those of their words, and decoded by putting binary pieces end to end, by Arrow
+array of a word's byte ids and, step by step, joins the leftmost pair of least rank. The rank map is a table of one row that
+is broadcast: as a literal it would be in the text of every plan, which the driver keeps, and in every task. It is laid out in
+two arrays where a pair has one place in each, as Spark's own map type is searched from end to end. Ids of documents are gathered from those of their words, and decoded by putting binary pieces end to end, by Arrow
 in the same stage.
 
-Words that are frequent in the corpus, at most ``MAX_COMMON`` of them, are merged once and sent to the tasks; they are
-chosen by a count over all documents. Documents are gone through in blocks of about ``BLOCK_CHARS`` characters (a longer
+Words that are frequent in the corpus, at most ``MAX_COMMON`` of them, are chosen by a count over all documents and merged once,
+into a table in the shared folder that each Python worker reads for itself; only the names of its files pass through the
+driver. Documents are gone through in blocks of about ``BLOCK_CHARS`` characters (a longer
 text is a block by itself), each with a list of its other distinct words, which are merged in the block. Blocks are made
 and merged in one narrow stage: texts and ids are never shuffled, and a lost task is done again by itself.
 
@@ -27,13 +28,17 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoloom.llm.common import columns_of, written
+from chronoloom.llm.files import open_in
 
 MAX_COMMON = 1 << 20
+#: Tasks that merge them.
+PARTS = 64
 BLOCK_CHARS = 3_000_000
 #: Bytes of the longest words that are folded, a power of two.
 LONG_BITS = 10
@@ -102,8 +107,15 @@ def _rank(table: Column, a: Column, b: Column) -> Column:
     return F.least(*[e.bitwiseXOR(pair) for e in found], F.lit(NONE).cast("bigint"))
 
 
-def merged(words: Column, ranks: dict[bytes, int]) -> Column:
-    """Ids of each word of an array of words; words have at most ``LONG`` bytes.
+def rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    """The rank map and the ids of single bytes, as one row to be broadcast."""
+    half0, half1 = _rank_map(ranks)
+    columns = {"half0": half0, "half1": half1, "bytes": [ranks[bytes([i])] for i in range(256)]}
+    return F.broadcast(spark.createDataFrame(pa.table({c: pa.array([v], pa.list_(pa.int64())) for c, v in columns.items()})))
+
+
+def merged(words: Column) -> Column:
+    """Ids of each word of an array of words, in rows joined with ``rank_table``; words have at most ``LONG`` bytes.
 
     The state of the fold is one number for each piece so far: the rank of it and the next piece, where it starts, and its id.
     The least of them is the leftmost pair of least rank.
@@ -143,12 +155,7 @@ def merged(words: Column, ranks: dict[bytes, int]) -> Column:
             lambda ids: fold(table, ids),
         )
 
-    single = F.split(F.lit(",".join(str(ranks[bytes([i])]) for i in range(256))), ",").cast("array<bigint>")
-    halves = [F.split(F.lit(",".join(map(str, h))), ",").cast("array<bigint>") for h in _rank_map(ranks)]
-    return _let(
-        F.struct(halves[0].alias("half0"), halves[1].alias("half1"), single.alias("bytes")),
-        lambda t: F.transform(words, lambda w: of(t, w)),
-    )
+    return _let(F.struct("half0", "half1", "bytes"), lambda t: F.transform(words, lambda w: of(t, w)))
 
 
 @lru_cache(maxsize=1)
@@ -230,9 +237,35 @@ def common_words(texts: DataFrame, pattern: str) -> DataFrame:
     return counts.filter(F.length(F.bin("n")) >= least).select("word")
 
 
-def _encoder(pattern: str, common: object) -> Callable:
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each batch as one row."""
+    for batch in batches:
+        if batch.num_rows:
+            words = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
+            yield pa.RecordBatch.from_arrays([words], ["words"])
+
+
+def common_files(texts: DataFrame, pattern: str, ranks: DataFrame) -> tuple[str, ...]:
+    """Files of ``words array<string>`` and their ``ids array<array<int>>``, for all common words."""
+    listed = common_words(texts, pattern).repartition(PARTS, "word").mapInArrow(_listed, "words array<string>")
+    return tuple(written(listed.crossJoin(ranks).select("words", merged(F.col("words")).alias("ids")), "common").inputFiles())
+
+
+@lru_cache(maxsize=1)
+def _common(paths: tuple[str, ...]) -> tuple[pa.Array, pa.ListArray]:
+    """Common words and their ids."""
+    words, ids = [pa.array([], pa.string())], [pa.array([], pa.list_(pa.int32()))]
+    for path in paths:
+        with open_in(path) as source:
+            table = pq.ParquetFile(source).read()
+        words += [chunk.flatten().cast(words[0].type) for chunk in table["words"].chunks]
+        ids += [chunk.flatten().cast(ids[0].type) for chunk in table["ids"].chunks]
+    return pa.concat_arrays(words), pa.concat_arrays(ids)
+
+
+def _encoder(pattern: str, common: tuple[str, ...], by_id: object) -> Callable:
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, table_ids, pieces = common.value
+        (table, table_ids), pieces = _common(common), by_id.value
         for keys, texts in _blocks(batches):
             numbers, sizes, words, order = _cut(texts, pattern)
             place = pc.index_in(words, table)
@@ -260,11 +293,11 @@ def _ends(sizes: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)])
 
 
-def _gatherer(common: object, then: Then | None) -> Callable:
+def _gatherer(by_id: object, then: Then | None) -> Callable:
     """Ids of the documents of a block, put together from those of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = common.value[2]
+        pieces = by_id.value
         for batch in batches:
             for i in range(batch.num_rows):
                 docs, rare = batch.column(0).slice(i, 1).flatten(), batch.column(1).slice(i, 1).flatten()
@@ -310,20 +343,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, then: Then | None = N
     spark = docs.sparkSession
     ranks = read_ranks(ranks_path)
     text = F.col("text").cast("string").alias("text")
-    listed = common_words(docs.select(F.lit(0).alias("key"), text), pattern)
-    batch = F.struct(F.collect_list("word").alias("words")).alias("b")
-    grouped = listed.groupBy(F.pmod(F.xxhash64("word"), F.lit(64)).alias("part")).agg(batch).select("b.words")
-    table, ids = [pa.array([], pa.string())], [pa.array([], pa.list_(pa.int32()))]
-    for row in grouped.select("words", merged(F.col("words"), ranks).alias("ids")).toLocalIterator():
-        table.append(pa.array(row["words"], pa.string()))
-        ids.append(pa.array(row["ids"], pa.list_(pa.int32())))
-    common = spark.sparkContext.broadcast((pa.concat_arrays(table), pa.concat_arrays(ids), pieces_of(ranks)))
+    table, by_id = rank_table(spark, ranks), spark.sparkContext.broadcast(pieces_of(ranks))
+    common = common_files(docs.select(F.lit(0).alias("key"), text), pattern, table)
     others = [c for name, c in zip(docs.columns, columns_of(docs)) if name != "text"]
     rows = docs.select(F.struct(*others).alias("key"), text) if others else docs.select(F.lit(0).alias("key"), text)
     key = rows.schema["key"].dataType.simpleString()
-    blocks = rows.mapInArrow(_encoder(pattern, common), f"docs array<{key}>, rare array<string>, packed array<binary>")
-    folded = blocks.select("docs", merged(F.col("rare"), ranks).alias("rare"), "packed")
-    return folded.mapInArrow(_gatherer(common, then), f"doc {key}, {kinds}")
+    kinds_cut = f"docs array<{key}>, rare array<string>, packed array<binary>"
+    blocks = rows.mapInArrow(_encoder(pattern, common, by_id), kinds_cut).crossJoin(table)
+    folded = blocks.select("docs", merged(F.col("rare")).alias("rare"), "packed")
+    return folded.mapInArrow(_gatherer(by_id, then), f"doc {key}, {kinds}")
 
 
 def joined(lists: pa.LargeListArray, pieces: pa.Array) -> pa.Array:

@@ -9,6 +9,9 @@ document, checkpoints and the bit stream. The stream is cut into *blocks* of ``B
 offset at which a block starts, so any block can be decoded by itself. Decoding looks ``MAX_BITS`` bits up in a table; the
 blocks of a run of documents are decoded side by side, one id of each at a time.
 
+Between the steps the ids of a document are one binary value, big-endian and as wide as the vocabulary asks for, so that Spark
+handles a value and not each id, and values sort as the lists of ids do.
+
 Tasks write files under names of their own and report them; only reported files are read, so files of lost tasks do no
 harm. A null text is empty and has the end id alone. Rows that repeat a ``doc_id`` stay next to each other, in the order of
 their ids; null comes first.
@@ -103,12 +106,19 @@ class Encoder:
         if len(ends) != len(new):
             raise ValueError("the tokenizer does not mark the ends of words as expected")
         ids = pa.LargeListArray.from_arrays(pa.array(np.r_[0, ends]), flat)
-        every, ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, ids])
+        # Those to be kept come first.
+        short = pc.less_equal(pc.utf8_length(new), KEPT_CHARS).to_numpy(zero_copy_only=False)
+        order = pa.array(np.argsort(~short, kind="stable"))
+        every = pa.concat_arrays([self.ids, ids.take(order)])
         number = pc.fill_null(place, 0).to_numpy().astype(np.int64)
-        number[unknown.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
-        found = ids.take(pa.array(number))
-        keep = pc.less_equal(pc.utf8_length(every), KEPT_CHARS)
-        self.words, self.ids = (every.filter(keep), ids.filter(keep)) if len(every) <= MAX_KEPT else (every[:0], ids[:0])
+        number[np.flatnonzero(unknown.to_numpy(zero_copy_only=False))[order.to_numpy()]] = len(self.words) + np.arange(len(new))
+        found = every.take(pa.array(number))
+        if len(self.words) + len(new) <= MAX_KEPT:
+            n = int(np.count_nonzero(short))
+            self.words = pa.concat_arrays([self.words, new.take(order[:n])])
+            self.ids = every[: len(self.words)]
+        else:
+            self.words, self.ids = pa.array([], pa.large_string()), pa.array([], IDS)
         return found
 
     def encode(self, texts: pa.Array, end: int) -> pa.LargeListArray:
@@ -145,40 +155,91 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _encode(path: str, end: int) -> Callable:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts of the documents, about ``RUN_BYTES`` of text at a time, whatever batches they come in.
+
+    What the encoder does for a call grows with the words it keeps, so calls should be few.
+    """
+    held, size = [], 0
+
+    def run() -> tuple[pa.Array, pa.Array]:
+        return tuple(pa.concat_arrays(columns) for columns in zip(*held))
+
+    for batch in batches:
+        texts = pc.fill_null(batch.column(1), "").cast(pa.large_string())
+        ends, at = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0
+        while at < len(texts):
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + RUN_BYTES - size, "right")))
+            held.append((batch.column(0).slice(at, stop - at), texts.slice(at, stop - at)))
+            size, at = size + int(ends[stop - 1]) - before, stop
+            if at < len(texts) or size >= RUN_BYTES:
+                yield run()
+                held, size = [], 0
+    if held:
+        yield run()
+
+
+def _packed(ids: pa.LargeListArray, kind: str) -> pa.Array:
+    """The ids of each document as one binary value, each id as ``kind`` says."""
+    values = ids.flatten().to_numpy().astype(kind)
+    offsets = (ids.offsets.to_numpy() - ids.offsets[0].as_py()) * values.itemsize
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(values.view(np.uint8))]
+    return pa.Array.from_buffers(pa.large_binary(), len(ids), buffers).cast(pa.binary())
+
+
+def _values(ids: pa.Array, kind: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some documents, and where those of each end; lists of ids, or, with a kind, packed ones."""
+    ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1] if len(ids) else np.zeros(1, np.int32)
+    if kind is None:
+        return ids.flatten().to_numpy(zero_copy_only=False), ends[1:] - ends[0]
+    width = np.dtype(kind).itemsize
+    raw = np.frombuffer(ids.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    return raw.view(kind).astype(np.int32), (ends[1:] - ends[0]) // width
+
+
+def kind_of(tokenizer_path: str, end: int) -> str:
+    """The least kind of number that holds all ids of a tokenizer file; big-endian, so that bytes sort as numbers do."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        known = json.load(file)
+    pieces = known["model"]["vocab"]
+    ids = pieces.values() if isinstance(pieces, dict) else range(len(pieces))
+    return ">u2" if max([end, *ids, *(t["id"] for t in known["added_tokens"])]) < 1 << 16 else ">u4"
+
+
+def _encode(path: str, end: int, kind: str | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
-        for batch in batches:
-            texts = pc.fill_null(batch.column(1), "")
-            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-            at = 0
-            while at < len(texts):
-                stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), RUN_BYTES, "right")) + at)
-                ids = encoder.encode(texts.slice(at, stop - at), end).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, stop - at), ids], ["doc_id", "ids"])
-                at = stop
+        for doc_ids, texts in _runs(batches):
+            ids = encoder.encode(texts, end)
+            ids = ids.cast(pa.list_(pa.int32())) if kind is None else _packed(ids, kind)
+            yield pa.RecordBatch.from_arrays([doc_ids, ids], ["doc_id", "ids"])
 
     return run
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, end: int) -> DataFrame:
-    """``doc_id`` and ``ids``, the end id included."""
+def encoded(docs: DataFrame, tokenizer_path: str, end: int, kind: str | None = None) -> DataFrame:
+    """``doc_id`` and ``ids``, the end id included; with a kind, ids are packed into one binary value."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_encode(tokenizer_path, end), "doc_id bigint, ids array<int>")
+    ids = "array<int>" if kind is None else "binary"
+    return rows.mapInArrow(_encode(tokenizer_path, end, kind), f"doc_id bigint, ids {ids}")
 
 
 # The code
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        some = np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False))
-        if len(some) > len(total):
-            total = np.concatenate([total, np.zeros(len(some) - len(total), np.int64)])
-        total[: len(some)] += some
-    found = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], ["id", "n"])
+def _counter(kind: str | None) -> Callable:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            some = np.bincount(_values(batch.column(0), kind)[0])
+            if len(some) > len(total):
+                total = np.concatenate([total, np.zeros(len(some) - len(total), np.int64)])
+            total[: len(some)] += some
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], ["id", "n"])
+
+    return count
 
 
 def lengths_of(counts: np.ndarray) -> np.ndarray:
@@ -296,7 +357,7 @@ def _write_file(path: str, doc_ids: list[int | None], docs: list[np.ndarray], pa
 MANIFEST = "part int, number int, path string, ids bigint"
 
 
-def _writer(folder: str, packed_lengths: bytes) -> Callable:
+def _writer(folder: str, packed_lengths: bytes, kind: str | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = np.frombuffer(zlib.decompress(packed_lengths), np.uint8)
         codes = lengths, codes_of(lengths)
@@ -309,8 +370,7 @@ def _writer(folder: str, packed_lengths: bytes) -> Callable:
             done.append((part, number, path, size))
 
         for batch in batches:
-            values = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
+            values, ends = _values(batch.column(1), kind)
             for doc_id, a, b in zip(batch.column(0).to_pylist(), np.r_[0, ends[:-1]].tolist(), ends.tolist()):
                 if docs and size + b - a > FILE_IDS:
                     flush()
@@ -327,15 +387,18 @@ def _writer(folder: str, packed_lengths: bytes) -> Callable:
     return run
 
 
-def write_files(rows: DataFrame, folder: str) -> DataFrame:
-    """Write ``doc_id``, ``ids`` in ascending order; returns the manifest: part, number, path and ids of each file."""
-    counts = rows.select("ids").mapInArrow(_count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+def write_files(rows: DataFrame, folder: str, kind: str | None = None) -> DataFrame:
+    """Write ``doc_id``, ``ids`` in ascending order; returns the manifest: part, number, path and ids of each file.
+
+    Ids are arrays of numbers, or, with a kind, packed as ``encoded`` does.
+    """
+    counts = rows.select("ids").mapInArrow(_counter(kind), "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     totals = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
     totals[counts["id"]] = counts["n"]
     packed_lengths = zlib.compress(lengths_of(totals).tobytes())
     parts = max(1, int(totals.sum() // FILE_IDS * 4), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
-    return written(ordered.mapInArrow(_writer(folder, packed_lengths), MANIFEST), "manifest")
+    return written(ordered.mapInArrow(_writer(folder, packed_lengths, kind), MANIFEST), "manifest")
 
 
 class File:
@@ -431,8 +494,8 @@ def _digests(batch: pa.RecordBatch) -> pa.RecordBatch:
 def token_table(docs: DataFrame, tokenizer_path: str, end: int = 1) -> DataFrame:
     """One row per document, read back from the files: place, number and checksum of its ids."""
     spark = docs.sparkSession
-    path = scratch(spark, "ids")
+    path, kind = scratch(spark, "ids"), kind_of(tokenizer_path, end)
     with small_batches(spark):
-        encoded(docs, tokenizer_path, end).write.option("compression", "zstd").parquet(path)
-    rows = spark.read.schema("doc_id bigint, ids array<int>").parquet(path)
-    return read_files(write_files(rows, scratch(spark, "token-files")), _digests, "n_tokens bigint, ids_crc32 bigint")
+        encoded(docs, tokenizer_path, end, kind).write.option("compression", "zstd").parquet(path)
+    rows = spark.read.schema("doc_id bigint, ids binary").parquet(path)
+    return read_files(write_files(rows, scratch(spark, "token-files"), kind), _digests, "n_tokens bigint, ids_crc32 bigint")

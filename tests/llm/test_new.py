@@ -363,3 +363,57 @@ def test_rank_map_and_common_words_stay_out_of_plans_and_driver(spark, monkeypat
     assert len(rows._jdf.queryExecution().toString()) < 20_000
     assert [type(v).__name__ for v in sent] == ["LargeBinaryArray"] and len(sent[0]) == 1 + max(byte_bpe.read_ranks(path).values())
     assert {r.doc.doc_id: r.ids for r in rows.collect()} == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_token_encoder_is_called_once_for_many_small_batches(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    sizes = []
+    monkeypatch.setattr(token_files.Encoder, "encode", lambda self, texts, end, f=token_files.Encoder.encode: sizes.append(len(texts)) or f(self, texts, end))
+    texts = ["", None, "one two, three", "Élan vital " * 3, "x" * 100, "中文 text"] * 50
+    run = token_files._encode(path, 1, None)
+    batches = [pa.record_batch([pa.array([i, i + 1], pa.int64()), pa.array(texts[i : i + 2])], ["doc_id", "text"]) for i in range(0, 300, 2)]
+    got = [row for batch in run(iter(batches)) for row in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist())]
+    assert sizes == [300]
+    want = token_files._tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert got == [(i, [*e.ids, 1]) for i, e in enumerate(want)]
+    # A run holds no more than it should, whatever way the batches cut it; a longer text is in one run with what came before.
+    monkeypatch.setattr(token_files, "RUN_BYTES", 40)
+    sizes.clear()
+    again = [row for batch in run(iter(batches)) for row in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist())]
+    assert again == got and len(sizes) > 50 and sum(sizes) == 300
+    assert list(run(iter([]))) == [] == list(run(iter([batches[0].slice(0, 0)])))
+
+
+@pytest.mark.parametrize("kind, top", [(">u2", 1 << 16), (">u4", 1 << 31)])
+def test_packed_ids_keep_values_and_order(kind, top):
+    import pyarrow as pa
+
+    random.seed(3)
+    lists = [[random.choice([0, 1, 255, 256, 257, top - 1]) for _ in range(random.randrange(5))] for _ in range(300)]
+    packed = token_files._packed(pa.array([[9], *lists], token_files.IDS).slice(1), kind)
+    for rows, some in ((packed, lists), (packed.slice(7, 90), lists[7:97]), (packed.slice(3, 0), [])):
+        values, ends = token_files._values(rows, kind)
+        assert values.tolist() == [i for ids in some for i in ids] and ends.tolist() == list(itertools.accumulate(map(len, some)))
+    whole = pa.array(lists, pa.list_(pa.int32())).slice(7, 90)
+    values, ends = token_files._values(whole, None)
+    assert values.tolist() == [i for ids in lists[7:97] for i in ids] and ends.tolist() == list(itertools.accumulate(map(len, lists[7:97])))
+    # Spark sorts binary values as bytes without a sign.
+    order = sorted(range(300), key=lambda i: (packed[i].as_py(), i))
+    assert [lists[i] for i in order] == sorted(lists)
+
+
+def test_files_of_lists_and_of_packed_ids_are_equal(spark, docs):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    kind = token_files.kind_of(path, 1)
+    assert kind == ">u2" and token_files.kind_of(path, 1 << 16) == ">u4"
+    read = []
+    for k in (None, kind, ">u4"):
+        rows = written(token_files.encoded(docs, path, 1, k), "ids")
+        files = token_files.write_files(rows, token_files.scratch(spark, "files"), k)
+        read.append(sorted(map(repr, token_files.read_files(files).collect())))
+    assert read[0] == read[1] == read[2] and len(read[0]) == docs.count()

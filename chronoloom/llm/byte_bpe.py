@@ -207,13 +207,22 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Ar
             yield keys.slice(first), pa.concat_arrays([texts.slice(first)])
 
 
+def _trimmed(made: pa.RecordBatch) -> pa.RecordBatch:
+    """What was made of a block, when the memory that Arrow keeps of the work is given back: a task has two Python workers."""
+    pa.default_memory_pool().release_unused()
+    return made
+
+
 def _counter(pattern: str) -> Callable:
+    def counted(texts: pa.Array) -> pa.RecordBatch:
+        numbers, sizes, words, order = _cut(texts, pattern)
+        times = np.bincount(numbers.flatten().to_numpy(), minlength=len(sizes))
+        n = np.bincount(order, np.repeat(times, sizes), len(words)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([words, pa.array(n)], ["word", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _blocks(batches):
-            numbers, sizes, words, order = _cut(texts, pattern)
-            times = np.bincount(numbers.flatten().to_numpy(), minlength=len(sizes))
-            n = np.bincount(order, np.repeat(times, sizes), len(words)).astype(np.int64)
-            table = pa.RecordBatch.from_arrays([words, pa.array(n)], ["word", "n"])
+            table = _trimmed(counted(texts))
             for at in range(0, table.num_rows, 20_000):
                 yield table.slice(at, 20_000)
 
@@ -264,27 +273,30 @@ def _common(paths: tuple[str, ...]) -> tuple[pa.Array, pa.ListArray]:
 
 
 def _encoder(pattern: str, common: tuple[str, ...], by_id: object) -> Callable:
-    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def block(keys: pa.Array, texts: pa.Array) -> pa.RecordBatch:
         (table, table_ids), pieces = _common(common), by_id.value
+        numbers, sizes, words, order = _cut(texts, pattern)
+        place = pc.index_in(words, table)
+        known, long = place.is_valid().to_numpy(zero_copy_only=False), np.array(pc.binary_length(words)) > LONG
+        # Common words are numbered first, then long ones, then those left to be merged.
+        kind = np.where(known, 0, np.where(long, 1, 2))
+        number = np.zeros(len(kind), np.int32)
+        number[np.argsort(kind, kind="stable")] = np.arange(len(kind))
+        piece = _library(pattern, pieces)._encode_single_piece if 1 in kind else None
+        long_ids = [piece(word.encode()) for word in words.filter(pa.array(kind == 1)).to_pylist()]
+        ids = pa.concat_arrays([table_ids.take(place.drop_null()), pa.array(long_ids, table_ids.type)])
+        packed = [numbers.offsets, numbers.flatten(), sizes, number[order], ids.value_lengths(), ids.flatten()]
+        packed = [np.asarray(a).astype("<i4").tobytes() for a in packed]
+        columns = {
+            "docs": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.concat_arrays([keys])),
+            "rare": pa.array([words.filter(pa.array(kind == 2)).to_pylist()], pa.list_(pa.string())),
+            "packed": pa.array([packed], pa.list_(pa.binary())),
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in _blocks(batches):
-            numbers, sizes, words, order = _cut(texts, pattern)
-            place = pc.index_in(words, table)
-            known, long = place.is_valid().to_numpy(zero_copy_only=False), np.array(pc.binary_length(words)) > LONG
-            # Common words are numbered first, then long ones, then those left to be merged.
-            kind = np.where(known, 0, np.where(long, 1, 2))
-            number = np.zeros(len(kind), np.int32)
-            number[np.argsort(kind, kind="stable")] = np.arange(len(kind))
-            piece = _library(pattern, pieces)._encode_single_piece if 1 in kind else None
-            long_ids = [piece(word.encode()) for word in words.filter(pa.array(kind == 1)).to_pylist()]
-            ids = pa.concat_arrays([table_ids.take(place.drop_null()), pa.array(long_ids, table_ids.type)])
-            packed = [numbers.offsets, numbers.flatten(), sizes, number[order], ids.value_lengths(), ids.flatten()]
-            packed = [np.asarray(a).astype("<i4").tobytes() for a in packed]
-            columns = {
-                "docs": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.concat_arrays([keys])),
-                "rare": pa.array([words.filter(pa.array(kind == 2)).to_pylist()], pa.list_(pa.string())),
-                "packed": pa.array([packed], pa.list_(pa.binary())),
-            }
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            yield _trimmed(block(keys, texts))
 
     return cut_up
 
@@ -296,21 +308,21 @@ def _ends(sizes: np.ndarray) -> np.ndarray:
 def _gatherer(by_id: object, then: Then | None) -> Callable:
     """Ids of the documents of a block, put together from those of its words."""
 
+    def block(docs: pa.Array, rare: pa.Array, packed: pa.Array) -> pa.RecordBatch:
+        cuts, parts, sizes, order, lengths, known = (np.frombuffer(b.as_buffer(), "<i4") for b in packed)
+        first = pa.LargeListArray.from_arrays(pa.array(_ends(lengths)), pa.array(known))
+        ids = pa.concat_arrays([first, rare.cast(first.type)])
+        stretches = pa.LargeListArray.from_arrays(pa.array(_ends(sizes)), pa.array(order)).take(pa.array(parts))
+        words = ids.take(stretches.flatten())
+        ends = words.offsets.to_numpy()[stretches.offsets.to_numpy()[cuts]]
+        lists = pa.LargeListArray.from_arrays(pa.array(ends - ends[0]), words.flatten())
+        made = {"ids": lists.cast(pa.list_(pa.int32()))} if then is None else then(lists, by_id.value)
+        return pa.RecordBatch.from_arrays([docs, *made.values()], ["doc", *made])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = by_id.value
         for batch in batches:
             for i in range(batch.num_rows):
-                docs, rare = batch.column(0).slice(i, 1).flatten(), batch.column(1).slice(i, 1).flatten()
-                packed = batch.column(2).slice(i, 1).flatten()
-                cuts, parts, sizes, order, lengths, known = (np.frombuffer(b.as_buffer(), "<i4") for b in packed)
-                first = pa.LargeListArray.from_arrays(pa.array(_ends(lengths)), pa.array(known))
-                ids = pa.concat_arrays([first, rare.cast(first.type)])
-                stretches = pa.LargeListArray.from_arrays(pa.array(_ends(sizes)), pa.array(order)).take(pa.array(parts))
-                words = ids.take(stretches.flatten())
-                ends = words.offsets.to_numpy()[stretches.offsets.to_numpy()[cuts]]
-                lists = pa.LargeListArray.from_arrays(pa.array(ends - ends[0]), words.flatten())
-                made = {"ids": lists.cast(pa.list_(pa.int32()))} if then is None else then(lists, pieces)
-                yield pa.RecordBatch.from_arrays([docs, *made.values()], ["doc", *made])
+                yield _trimmed(block(*(batch.column(c).slice(i, 1).flatten() for c in range(3))))
 
     return run
 

@@ -3,8 +3,9 @@
 Texts are cut by the tokenizer's pattern into *words*. Merging is done on distinct words: a higher-order fold takes the
 array of a word's byte ids and, step by step, joins the leftmost pair of least rank. The rank map is a table of one row that
 is broadcast: as a literal it would be in the text of every plan, which the driver keeps, and in every task. It is laid out in
-two arrays where a pair has one place in each, as Spark's own map type is searched from end to end. Ids of documents are gathered from those of their words, and decoded by putting binary pieces end to end, by Arrow
-in the same stage.
+arrays where a pair has one place, as Spark's own map type is searched from end to end; pairs of bytes, which every word
+begins with, have an array of their own. Ids of documents are gathered from those of their words, and decoded by putting
+binary pieces end to end, by Arrow in the same stage.
 
 Words that are frequent in the corpus, at most ``MAX_COMMON`` of them, are chosen by a count over all documents and merged once,
 into a table in the shared folder that each Python worker reads for itself; only the names of its files pass through the
@@ -44,17 +45,22 @@ BLOCK_CHARS = 3_000_000
 LONG_BITS = 10
 LONG = 1 << LONG_BITS
 Then = Callable[[pa.LargeListArray, pa.Array], dict[str, pa.Array]]
-#: Places in each half of the rank map, multipliers that spread pairs over them, and bits of a rank.
-SLOTS = (1 << 17) - 1
-FACTORS = (40503, 48271)
+#: Places of the rank map for each pair, bits of a rank, and what stands in a place without a pair.
+ROOM = 4
 BITS = 17
-#: Rank of pairs that make no piece.
+EMPTY = 1 << 40
+#: Rank of pairs that make no piece; as an id, one that is in no pair.
 NONE = (1 << BITS) - 1
+#: Where the rank begins in an entry of the fold, and the number that stands for the byte after the last one.
+RANK = BITS + LONG_BITS
+END = 256
 
 #: A space beside other white space: only there can a word that begins with a space not be told from the space alone.
 UNEVEN = r" [\s\pZ\x0b\x1c-\x1f\x{85}]|[\s\pZ\x0b\x1c-\x1f\x{85}] "
 #: Stretches that are one word to the pattern.
 PLAIN = r"^ ?\pL+$"
+#: Stretches that are two words to the pattern.
+ENDED = r"^(?P<word> ?\pL+)(?P<end>[.,;:!?]+)$"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -68,94 +74,89 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _places(a: object, b: object) -> tuple:
-    """Place of a pair in the first and in the second half of the rank map; for numbers and for columns."""
-    return (a * FACTORS[0] + b) % SLOTS, (b * FACTORS[1] + a) % SLOTS
+def _rank_map(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Every two pieces that make a third: a start for each first piece, and first piece and rank in one number at start + second.
 
-
-def _rank_map(ranks: dict[bytes, int]) -> list[list[int]]:
-    """Every two pieces that make a third: pair and rank in one number, at one of the two places of the pair.
-
-    Pairs that meet push each other to their other places until all have one.
+    Pieces that are first in many pairs choose their start first, so that no two pairs meet.
     """
-    halves = [[0] * SLOTS, [0] * SLOTS]
+    pairs: dict[int, list[tuple[int, int]]] = {}
     for piece, rank in ranks.items():
         for cut in range(1, len(piece)):
             a, b = ranks.get(piece[:cut]), ranks.get(piece[cut:])
-            if a is None or b is None:
-                continue
-            entry, half = ((a << BITS) + b + 1 << BITS) + rank, 0
-            for _ in range(1000):
-                pair = (entry >> BITS) - 1
-                place = _places(pair >> BITS, pair & (1 << BITS) - 1)[half]
-                entry, halves[half][place] = halves[half][place], entry
-                if not entry:
-                    break
-                half = 1 - half
-            else:
-                raise ValueError("the rank map is too small for these ranks")
-    return halves
+            if a is not None and b is not None:
+                pairs.setdefault(a, []).append((b, rank))
+    width, size = max(ranks.values()) + 1, 1 + ROOM * sum(map(len, pairs.values()))
+    starts, slots = np.zeros(width, np.int64), np.full(size + width, EMPTY, np.int64)
+    draw = np.random.default_rng(0).integers
+    for a, found in sorted(pairs.items(), key=lambda item: -len(item[1])):
+        b, rank = np.array(found).T
+        for tries in chain([8], [1 + (1 << 16) // len(b)] * 100):
+            drawn = draw(0, size, tries)
+            free = (slots[drawn[:, None] + b] == EMPTY).all(axis=1)
+            if free.any():
+                starts[a] = drawn[free.argmax()]
+                break
+        else:
+            starts[a], slots = len(slots), np.append(slots, np.full(width, EMPTY))
+        slots[starts[a] + b] = (a << BITS) + rank
+    return starts, slots
 
 
 def _rank(table: Column, a: Column, b: Column) -> Column:
-    """Rank of the piece that two pieces make, ``NONE`` if they make none or the second is null.
+    """Rank of the piece that two pieces make, ``NONE`` if they make none or one of them is null or ``NONE``.
 
-    An entry of the pair differs from the pair in the bits of the rank alone, any other one in higher bits as well.
+    An entry of the first piece differs from it in the bits of the rank alone, any other one in higher bits as well.
     """
-    pair = (a * (1 << BITS) + b + 1) * (1 << BITS)
-    found = [F.get(table[f"half{i}"], place.cast("int")) for i, place in enumerate(_places(a, b))]
-    return F.least(*[e.bitwiseXOR(pair) for e in found], F.lit(NONE).cast("bigint"))
+    found = F.get(table["slots"], (F.get(table["starts"], a.cast("int")) + b).cast("int"))
+    return F.least(found.bitwiseXOR(F.shiftleft(a, BITS)), F.lit(NONE).cast("bigint"))
 
 
 def rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
-    """The rank map and the ids of single bytes, as one row to be broadcast."""
-    half0, half1 = _rank_map(ranks)
-    columns = {"half0": half0, "half1": half1, "bytes": [ranks[bytes([i])] for i in range(256)]}
+    """The rank map, and first entries of the fold by pair of bytes, as one row to be broadcast."""
+    starts, slots = _rank_map(ranks)
+    after = [bytes([i]) for i in range(256)]
+    pairs = [(ranks.get(a + b, NONE) if b else NONE, ranks[a]) for a in after for b in [*after, b""]]
+    columns = {"starts": starts, "slots": slots, "pairs": [(rank << RANK) + id_ for rank, id_ in pairs]}
     return F.broadcast(spark.createDataFrame(pa.table({c: pa.array([v], pa.list_(pa.int64())) for c, v in columns.items()})))
 
 
+def _pairs(words: pa.Array) -> pa.ListArray:
+    """The bytes of each word as numbers of the pairs that they make with the next one, the last with ``END``."""
+    data = np.frombuffer("".join(words.to_pylist()).encode(), np.uint8).astype(np.int32)
+    ends, after = _ends(np.asarray(pc.binary_length(words))), np.full(len(data), END, np.int32)
+    after[:-1] = data[1:]
+    after[ends[1:] - 1] = END
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(data * (END + 1) + after))
+
+
 def merged(words: Column) -> Column:
-    """Ids of each word of an array of words, in rows joined with ``rank_table``; words have at most ``LONG`` bytes.
+    """Ids of each word of an array of words, given as ``_pairs``, in rows joined with ``rank_table``; words have at most ``LONG`` bytes.
 
     The state of the fold is one number for each piece so far: the rank of it and the next piece, where it starts, and its id.
-    The least of them is the leftmost pair of least rank.
+    The least of them is the leftmost pair of least rank. One that is in no pair stands before the first.
     """
-    rest = 1 << 30
     id_of = lambda x: x.bitwiseAND(NONE)
 
-    def entry(table: Column, start: Column, id_: Column, after: Column) -> Column:
-        return (_rank(table, id_, after) * LONG + start) * (1 << BITS) + id_
-
-    def fold(table: Column, ids: Column) -> Column:
-        def joined(s: Column, at: Column, least: Column) -> Column:
-            def placed(new: Column) -> Column:
-                here = entry(table, F.shiftright(least, BITS) % LONG, new, id_of(F.get(s, at + 1)))
-                left = F.get(s, at - 2)
-                before = entry(table, F.shiftright(left, BITS) % LONG, id_of(left), new)
-                both = F.when(at > 1, F.array(before, here)).otherwise(F.array(here))
-                return F.flatten(F.array(F.slice(s, 1, F.greatest(at - 2, F.lit(0))), both, F.slice(s, at + 2, rest)))
-
-            return _let(F.shiftright(least, BITS + LONG_BITS), placed)
+    def joined(table: Column, s: Column, at: Column, least: Column) -> Column:
+        new, left = F.shiftright(least, RANK), F.get(s, at - 2)
+        before = F.shiftleft(_rank(table, id_of(left), new), RANK) + left.bitwiseAND((1 << RANK) - 1)
+        here = F.shiftleft(_rank(table, new, id_of(F.get(s, at + 1))), RANK) + least.bitwiseAND(LONG - 1 << BITS) + new
+        return F.flatten(F.array(F.slice(s, 1, at - 2), F.array(before, here), F.slice(s, at + 2, LONG)))
 
+    def fold(table: Column, pairs: Column) -> Column:
         def step(s: Column, _: Column) -> Column:
             def of(least: Column) -> Column:
-                further = _let(F.array_position(s, least).cast("int"), lambda at: joined(s, at, least))
-                return F.when(F.shiftright(least, BITS + LONG_BITS) == NONE, s).otherwise(further)
+                further = _let(F.array_position(s, least).cast("int"), lambda at: joined(table, s, at, least))
+                return F.when(least < NONE << RANK, further).otherwise(s)
 
             return _let(F.array_min(s), of)
 
-        first = F.transform(ids, lambda a, i: entry(table, i.cast("bigint"), a, F.get(ids, i + 1)))
-        steps = F.sequence(F.lit(2), F.greatest(F.size(ids), F.lit(2)))
-        return F.aggregate(steps, first, step, lambda s: F.transform(s, lambda x: id_of(x).cast("int")))
+        entries = F.transform(pairs, lambda p, i: F.get(table["pairs"], p) + F.shiftleft(i, BITS))
+        first = F.concat(F.array(F.lit((NONE << RANK) + NONE)), entries)
+        last = lambda s: F.transform(F.slice(s, 2, LONG), lambda x: id_of(x).cast("int"))
+        return F.aggregate(F.slice(pairs, 2, LONG), first, step, last)
 
-    def of(table: Column, word: Column) -> Column:
-        latin = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-        return _let(
-            F.transform(F.split(latin, ""), lambda c: F.get(table["bytes"], F.ascii(c))),
-            lambda ids: fold(table, ids),
-        )
-
-    return _let(F.struct("half0", "half1", "bytes"), lambda t: F.transform(words, lambda w: of(t, w)))
+    return _let(F.struct("starts", "slots", "pairs"), lambda t: F.transform(words, lambda w: fold(t, w)))
 
 
 @lru_cache(maxsize=1)
@@ -167,7 +168,8 @@ def _cut(texts: pa.Array, pattern: str) -> tuple[pa.ListArray, np.ndarray, pa.Ar
     """Texts as numbers of distinct *stretches*, the number of words of each stretch, distinct words, and stretches as words.
 
     Texts are cut at single spaces, which the pattern keeps with what follows, so a stretch holds whole words; one of
-    nothing but letters is a word. A text in which a space stands beside other white space is cut by the pattern instead.
+    nothing but letters is a word, and signs that end it are one more. A text in which a space stands beside other white space
+    is cut by the pattern instead.
     The cuts are marked with a character that no text of the run holds, and Arrow splits there and numbers the stretches.
     """
     find = _splitter(pattern).findall
@@ -181,15 +183,20 @@ def _cut(texts: pa.Array, pattern: str) -> tuple[pa.ListArray, np.ndarray, pa.Ar
     coded = parts.flatten().dictionary_encode()
     stretches = coded.dictionary
     plain = pc.match_substring_regex(stretches, PLAIN)
-    others = list(map(find, stretches.filter(pc.invert(plain)).to_pylist()))
-    words = pa.array(chain.from_iterable(others), pa.string())
-    words = pa.concat_arrays([stretches.filter(plain), words]).dictionary_encode()
-    plain = plain.to_numpy(zero_copy_only=False)
-    sizes = np.ones(len(plain), np.int64)
-    sizes[~plain] = np.fromiter(map(len, others), np.int64, len(others))
-    alone, order = np.repeat(plain, sizes), np.zeros(int(sizes.sum()), np.int32)
-    indices = words.indices.to_numpy()
-    order[alone], order[~alone] = np.split(indices, [np.count_nonzero(plain)])
+    rest = stretches.filter(pc.invert(plain))
+    split = pc.extract_regex(rest, ENDED)
+    others = list(map(find, rest.filter(split.is_null()).to_pylist()))
+    ended, words = split.drop_null().flatten(), pa.array(chain.from_iterable(others), pa.string())
+    words = pa.concat_arrays([stretches.filter(plain), *ended, words]).dictionary_encode()
+    # Stretches of one word, of a word and its end, and others.
+    kind = np.where(plain.to_numpy(zero_copy_only=False), 0, 2)
+    kind[kind == 2] -= split.is_valid().to_numpy(zero_copy_only=False)
+    sizes = np.where(kind == 1, 2, 1)
+    sizes[kind == 2] = np.fromiter(map(len, others), np.int64, len(others))
+    kind, order = np.repeat(kind, sizes), np.zeros(int(sizes.sum()), np.int32)
+    ones, twos = np.count_nonzero(kind == 0), np.count_nonzero(kind == 1)
+    order[kind == 0], pairs, order[kind == 2] = np.split(words.indices.to_numpy(), [ones, ones + twos])
+    order[kind == 1] = pairs.reshape(2, -1).T.ravel()
     return pa.ListArray.from_arrays(parts.offsets, coded.indices), sizes, words.dictionary, order
 
 
@@ -246,18 +253,23 @@ def common_words(texts: DataFrame, pattern: str) -> DataFrame:
     return counts.filter(F.length(F.bin("n")) >= least).select("word")
 
 
+def _one(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of each batch as one row."""
+    """The words of each batch and their pairs of bytes as one row."""
     for batch in batches:
         if batch.num_rows:
-            words = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
-            yield pa.RecordBatch.from_arrays([words], ["words"])
+            words = batch.column(0)
+            yield pa.RecordBatch.from_arrays([_one(words), _one(_pairs(words))], ["words", "spelt"])
 
 
 def common_files(texts: DataFrame, pattern: str, ranks: DataFrame) -> tuple[str, ...]:
     """Files of ``words array<string>`` and their ``ids array<array<int>>``, for all common words."""
-    listed = common_words(texts, pattern).repartition(PARTS, "word").mapInArrow(_listed, "words array<string>")
-    return tuple(written(listed.crossJoin(ranks).select("words", merged(F.col("words")).alias("ids")), "common").inputFiles())
+    listed = common_words(texts, pattern).repartition(PARTS, "word")
+    listed = listed.mapInArrow(_listed, "words array<string>, spelt array<array<int>>")
+    return tuple(written(listed.crossJoin(ranks).select("words", merged(F.col("spelt")).alias("ids")), "common").inputFiles())
 
 
 @lru_cache(maxsize=1)
@@ -272,11 +284,19 @@ def _common(paths: tuple[str, ...]) -> tuple[pa.Array, pa.ListArray]:
     return pa.concat_arrays(words), pa.concat_arrays(ids)
 
 
+def _found(words: pa.Array, table: pa.Array) -> pa.Array:
+    """Place of each distinct word in the table, null for others; the table is looked up in the words, which are far fewer."""
+    at = pc.index_in(table, words)
+    place = np.full(len(words), -1, np.int32)
+    place[at.drop_null().to_numpy()] = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+    return pa.array(place, mask=place < 0)
+
+
 def _encoder(pattern: str, common: tuple[str, ...], by_id: object) -> Callable:
     def block(keys: pa.Array, texts: pa.Array) -> pa.RecordBatch:
         (table, table_ids), pieces = _common(common), by_id.value
         numbers, sizes, words, order = _cut(texts, pattern)
-        place = pc.index_in(words, table)
+        place = _found(words, table)
         known, long = place.is_valid().to_numpy(zero_copy_only=False), np.array(pc.binary_length(words)) > LONG
         # Common words are numbered first, then long ones, then those left to be merged.
         kind = np.where(known, 0, np.where(long, 1, 2))
@@ -288,8 +308,8 @@ def _encoder(pattern: str, common: tuple[str, ...], by_id: object) -> Callable:
         packed = [numbers.offsets, numbers.flatten(), sizes, number[order], ids.value_lengths(), ids.flatten()]
         packed = [np.asarray(a).astype("<i4").tobytes() for a in packed]
         columns = {
-            "docs": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.concat_arrays([keys])),
-            "rare": pa.array([words.filter(pa.array(kind == 2)).to_pylist()], pa.list_(pa.string())),
+            "docs": _one(pa.concat_arrays([keys])),
+            "rare": _one(_pairs(words.filter(pa.array(kind == 2)))),
             "packed": pa.array([packed], pa.list_(pa.binary())),
         }
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
@@ -360,7 +380,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, then: Then | None = N
     others = [c for name, c in zip(docs.columns, columns_of(docs)) if name != "text"]
     rows = docs.select(F.struct(*others).alias("key"), text) if others else docs.select(F.lit(0).alias("key"), text)
     key = rows.schema["key"].dataType.simpleString()
-    kinds_cut = f"docs array<{key}>, rare array<string>, packed array<binary>"
+    kinds_cut = f"docs array<{key}>, rare array<array<int>>, packed array<binary>"
     blocks = rows.mapInArrow(_encoder(pattern, common, by_id), kinds_cut).crossJoin(table)
     folded = blocks.select("docs", merged(F.col("rare")).alias("rare"), "packed")
     return folded.mapInArrow(_gatherer(by_id, then), f"doc {key}, {kinds}")

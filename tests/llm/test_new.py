@@ -365,6 +365,51 @@ def test_rank_map_and_common_words_stay_out_of_plans_and_driver(spark, monkeypat
     assert {r.doc.doc_id: r.ids for r in rows.collect()} == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
 
 
+def test_byte_bpe_looks_up_no_more_than_it_must(monkeypatch):
+    import public_tokenizers as P
+    import pyarrow as pa
+    import regex
+
+    # Words with signs at their end are cut without the pattern, as the pattern would cut them.
+    texts = ["One, two.\nthree! it's 12, élan; (x) a.b ... don't'. 中文。 no?!", "", " ", ",", " a", "a,", " \n b. c:", "x's, y.'s q 's. e\u0301."] * 2
+    seen = []
+    find = regex.compile(P.PATTERN).findall
+    monkeypatch.setattr(byte_bpe, "_splitter", lambda pattern: type("", (), {"findall": staticmethod(lambda t: seen.append(t) or find(t))}))
+    numbers, sizes, words, order = byte_bpe._cut(pa.array(texts), P.PATTERN)
+    assert " two.\nthree!" in seen and not {"One,", " élan;", " no?!", "a,"} & set(seen)
+    words, ends = words.to_pylist(), [0, *itertools.accumulate(sizes.tolist())]
+    assert len(set(words)) == len(words)
+    assert [[words[order[i]] for n in some for i in range(ends[n], ends[n + 1])] for some in numbers.to_pylist()] == list(map(find, texts))
+    for none in ([""], ["", ""], ["plain words"], ["ended. words,"]):
+        assert len(byte_bpe._cut(pa.array(none), P.PATTERN)[2]) == len({w for t in none for w in find(t)})
+
+    # Common words are looked up in the words of the block: what is laid out anew for each block does not grow with the corpus.
+    common, laid = pa.array([f"w{i}" for i in range(50_000)]), []
+    monkeypatch.setattr(byte_bpe.pc, "index_in", lambda v, value_set, f=byte_bpe.pc.index_in: laid.append(len(value_set)) or f(v, value_set))
+    monkeypatch.setattr(byte_bpe, "_common", lambda paths: (common, pa.array([[i] for i in range(50_000)], pa.list_(pa.int32()))))
+    sent = type("", (), {"value": byte_bpe.pieces_of({b"x": 0})})
+    rows = [pa.record_batch([pa.array(range(len(t))), pa.array(t, pa.string())], ["key", "text"]) for t in (["w7 none w49999", "é"], [None], [])]
+    made = list(byte_bpe._encoder(P.PATTERN, ("a",), sent)(iter(rows)))
+    assert laid and max(laid) < 10
+    spelt = [[ends * 257 + after for ends, after in zip(w, [*w[1:], 256])] for w in (b"w", b"7", b" none", b" w", b"49999", "é".encode())]
+    assert sorted(made[0]["rare"][0].as_py()) == sorted(spelt) and made[1]["rare"][0].as_py() == [] and len(made) == 2
+
+
+@pytest.mark.parametrize("room", [4, 0])
+def test_rank_map_has_one_place_for_each_pair(monkeypatch, room):
+    """Also where no room is left, and a start is taken at the end."""
+    monkeypatch.setattr(byte_bpe, "ROOM", room)
+    random.seed(5)
+    ranks = {bytes([i]): i for i in range(256)}
+    for _ in range(300):
+        ranks.setdefault(random.choice(list(ranks)) + random.choice(list(ranks)), len(ranks))
+    starts, slots = byte_bpe._rank_map(ranks)
+    for a, i in ranks.items():
+        for b, j in random.sample(sorted(ranks.items()), 100) + [(piece[len(a) :], ranks.get(piece[len(a) :])) for piece in ranks if piece.startswith(a)]:
+            if j is not None:
+                assert min(slots[starts[i] + j] ^ i << byte_bpe.BITS, byte_bpe.NONE) == ranks.get(a + b, byte_bpe.NONE)
+
+
 def test_token_encoder_is_called_once_for_many_small_batches(monkeypatch):
     import public_tokenizers
     import pyarrow as pa

@@ -11,7 +11,8 @@ Words that are frequent in the corpus, at most ``MAX_COMMON`` of them, are chose
 into a table in the shared folder that each Python worker reads for itself; only the names of its files pass through the
 driver. Documents are gone through in blocks of about ``BLOCK_CHARS`` characters (a longer
 text is a block by itself), each with a list of its other distinct words, which are merged in the block. Blocks are made
-and merged in one narrow stage: texts and ids are never shuffled, and a lost task is done again by itself.
+and merged in one narrow stage, or in two with the blocks written between them: texts and ids are never shuffled, and a lost
+task is done again by itself.
 
 Words of more than ``LONG`` bytes, such as long runs of one sign, take the same merges from the tokenizer's own library, as
 the fold's work grows with the square of a word's length. Null is the empty text, which has no ids. Repeated rows give
@@ -367,10 +368,13 @@ def pieces_of(ranks: dict[bytes, int]) -> pa.Array:
     return pa.array(pieces, pa.large_binary())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, then: Then | None = None, kinds: str = "ids array<int>") -> DataFrame:
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str, then: Then | None = None, kinds: str = "ids array<int>", staged: bool = False
+) -> DataFrame:
     """All columns of the documents as ``doc``, without their text, and ``ids array<int>``.
 
-    ``then`` may make other columns of the ids and the pieces in the same task; ``kinds`` names them.
+    ``then`` may make other columns of the ids and the pieces in the same task; ``kinds`` names them. ``staged`` writes the
+    blocks to the shared folder, so that a task has one Python worker and not two, for more disk.
     """
     spark = docs.sparkSession
     ranks = read_ranks(ranks_path)
@@ -381,8 +385,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, then: Then | None = N
     rows = docs.select(F.struct(*others).alias("key"), text) if others else docs.select(F.lit(0).alias("key"), text)
     key = rows.schema["key"].dataType.simpleString()
     kinds_cut = f"docs array<{key}>, rare array<array<int>>, packed array<binary>"
-    blocks = rows.mapInArrow(_encoder(pattern, common, by_id), kinds_cut).crossJoin(table)
-    folded = blocks.select("docs", merged(F.col("rare")).alias("rare"), "packed")
+    blocks = rows.mapInArrow(_encoder(pattern, common, by_id), kinds_cut)
+    blocks = written(blocks, "blocks") if staged else blocks
+    folded = blocks.crossJoin(table).select("docs", merged(F.col("rare")).alias("rare"), "packed")
     return folded.mapInArrow(_gatherer(by_id, then), f"doc {key}, {kinds}")
 
 

@@ -192,7 +192,8 @@ def redacted(docs: DataFrame, ledger: str) -> DataFrame:
     found = F.broadcast(found) if found.limit(limit + 1).count() <= limit else found
     rows = docs.select(packed(docs), F.sha2(_text(), 256).alias("blob")).join(found, "blob", "left")
     changed = F.col("spans").isNotNull()
-    text = F.when(changed, masked(F.col("doc.text"), F.col("spans"))).otherwise(F.col("doc.text"))
+    # Every row goes to the Python worker; only texts that change go with it.
+    text = F.when(changed, masked(F.when(changed, F.col("doc.text")), F.col("spans"))).otherwise(F.col("doc.text"))
     rows = rows.select("doc", changed.alias("changed"), text.alias("clean"))
     columns = []
     for name, column in zip(docs.columns, columns_of(docs.select("*"))):

@@ -9,9 +9,11 @@ import re
 import time
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from chronoloom.llm import byte_bpe, decontaminate, entries, hidden_markov, merkle, mixing, quality, secret_scan, spelling, token_files, url_filter, warc_zip
 from chronoloom.llm.common import scratch, written
 from chronoloom.llm.ranking import placed
@@ -480,3 +482,20 @@ def test_texts_without_secrets_stay_in_the_jvm(spark, monkeypatch):
     masked = texts | {2: "[secret] and more"}
     assert sorted((r.doc_id, r.text or "") for r in rows) == sorted((i, masked[i] or "") for i in [1, 2, 2, 3, 4])
     assert {r.doc_id for r in rows if r.text is None} == {3}
+
+
+def test_last_stage_hands_little_to_python_at_once(spark, monkeypatch):
+    """However its rows are read: 600 texts of 4,000 characters would fit a block, and a batch."""
+    texts = byte_bpe.texts
+
+    def with_block(lists, pieces):
+        return texts(lists, pieces) | {"n_tokens": pa.array([len(lists)] * len(lists), pa.int64())}
+
+    monkeypatch.setattr(byte_bpe, "texts", with_block)
+    whole = [f"{i:04} " + "word " * 799 for i in range(600)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(whole)], "doc_id int, text string, lang string, source string")
+    rows = corpus_pipeline.tokens(spark, docs.coalesce(1), "").collect()
+    assert {r.doc_id: r.text for r in rows} == dict(enumerate(whole)) and len(rows) == 600
+    assert max(r.n_tokens for r in rows) < 300
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
